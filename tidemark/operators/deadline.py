@@ -50,9 +50,9 @@ def missing_follow_up(
             start.alias("_start"),
             F.when(then, us).alias("_then"),
         )
-        sliced = slice_keys(rows, keys, rows_per_task)
+        sliced, split = slice_keys(rows, keys, rows_per_task)
         order = ["_us", "_side", "_seq"]
-        linked = with_next_value(sliced, keys, order, "_then", rows_per_task is not None, "_paid")
+        linked = with_next_value(sliced, keys, order, "_then", split, "_paid")
         open_ = linked.where(F.col("_start").isNotNull())
     late = F.col("_paid").isNull() | (F.col("_paid") >= F.col("_start") + F.lit(deadline_us))
     return open_.where(late).select(*keys, from_epoch_us(F.col("_start"), kind).alias("first_ts"))

@@ -37,12 +37,11 @@ def reconcile(
     and not yet taken, as with one pending row per key.  So a key with many rows on both
     sides gives no product of them, and both tables are shuffled once, together.
     """
-    split = rows_per_task is not None
     sides = _side(left, key, ts, seq, 0).unionByName(
         _side(right, key, ts, seq, 1), allowMissingColumns=True
     )
     keys, order = [key], ["_us", "_side", "_seq"]
-    sliced = slice_keys(sides, keys, rows_per_task)
+    sliced, split = slice_keys(sides, keys, rows_per_task)
     linked = with_previous(sliced, keys, order, ["_us", "_side", "left", "right"], split)
 
     # A chain is a run of alternating sides without a long gap.  Its rows pair up from

@@ -53,8 +53,8 @@ def strict_sequence(
         F.coalesce(first, F.lit(False)).alias("_first"),
         F.coalesce(then, F.lit(False)).alias("_then"),
     )
-    sliced = slice_keys(rows, keys, rows_per_task)
-    linked = with_previous(sliced, keys, ORDER, ["_us", "_first"], rows_per_task is not None)
+    sliced, split = slice_keys(rows, keys, rows_per_task)
+    linked = with_previous(sliced, keys, ORDER, ["_us", "_first"], split)
     gap = F.col("_us") - F.col("_prev._us")
     hits = linked.where(F.col("_then") & F.col("_prev._first") & (gap < F.lit(to_us(within))))
     kind = df.schema[ts].dataType
@@ -101,8 +101,8 @@ def followed_by(
         F.coalesce(first, F.lit(False)).alias("_first"),
         F.when(then, us).alias("_then"),
     )
-    sliced = slice_keys(rows, keys, rows_per_task)
-    linked = with_next_value(sliced, keys, ORDER, "_then", rows_per_task is not None)
+    sliced, split = slice_keys(rows, keys, rows_per_task)
+    linked = with_next_value(sliced, keys, ORDER, "_then", split)
     in_time = F.col("_next") - F.col("_us") < F.lit(to_us(within))
     kind = df.schema[ts].dataType
     return linked.where("_first").select(
@@ -133,7 +133,6 @@ def fail_burst(
     plain aggregate.  Only fails beyond it, which need an unbroken run of fails longer
     than ``horizon``, are walked in order, in Arrow batches and with constant memory.
     """
-    split = rows_per_task is not None
     horizon_us = to_us(horizon)
     rows = df.select(
         *keys,
@@ -141,7 +140,7 @@ def fail_burst(
         epoch_us(F.col(ts)).alias("_us"),
         F.coalesce(is_fail, F.lit(False)).alias("_fail"),
     )
-    sliced = slice_keys(rows, keys, rows_per_task)
+    sliced, split = slice_keys(rows, keys, rows_per_task)
     linked = with_previous(sliced, keys, ORDER, ["_us", "_fail"], split)
     gap = F.col("_us") - F.col("_prev._us")
     continues = F.coalesce(F.col("_prev._fail") & (gap <= F.lit(horizon_us)), F.lit(False))

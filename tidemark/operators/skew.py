@@ -5,10 +5,11 @@ That is fine for ordinary keys.  A heavy key is cut into time slices, each its o
 group, and what a slice needs from the slices around it is taken from a small summary
 with one row per slice.
 
-Both tables that are broadcast have a fixed bound whatever the input: a key is heavy
-only above ``1 / MAX_HEAVY_KEYS`` of all rows, so there are fewer than
-``MAX_HEAVY_KEYS`` heavy keys and at most ``(SLICES_PER_LIMIT + 1) * MAX_HEAVY_KEYS``
-slices.  Without a heavy key Spark drops the joins and the summary at run time.
+Heavy keys are found first, by a count per key over the key and time columns alone.
+Only the ``MAX_HEAVY_KEYS`` largest are cut, which covers every key above
+``1 / MAX_HEAVY_KEYS`` of all rows, and into at most
+``(SLICES_PER_LIMIT + 1) * MAX_HEAVY_KEYS`` slices, whatever the input: both tables
+have a fixed bound and are broadcast.  Without a heavy key the plan has neither.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 # A key with at most this many rows is always left whole.
 ROWS_PER_TASK = 1_000_000
@@ -31,27 +33,39 @@ SLICE = "_slice"
 
 def slice_keys(
     df: DataFrame, keys: list[str], rows_per_task: int | None = ROWS_PER_TASK, at: str = "_us"
-) -> DataFrame:
-    """Add ``_slice``: a number rising with ``at`` for rows of heavy keys, else NULL.
+) -> tuple[DataFrame, bool]:
+    """Add ``_slice``, rising with ``at`` for rows of heavy keys and else NULL.
 
-    ``rows_per_task=None`` skips the search when keys are known to be small.
+    Also tells whether there is any heavy key.  ``rows_per_task=None`` skips the search
+    when keys are known to be small.
     """
-    if rows_per_task is None:
-        return df.withColumn(SLICE, F.lit(None).cast("bigint"))
+    heavy = rows_per_task and _heavy_keys(df, keys, rows_per_task, at)
+    if not heavy:
+        return df.withColumn(SLICE, F.lit(None).cast("bigint")), False
+    sliced = join_small(df, heavy, keys).withColumn(SLICE, F.expr(f"({at} - _lo) div _width"))
+    return sliced.drop("_lo", "_width"), True
+
+
+def _heavy_keys(df, keys, rows_per_task, at):
+    """The largest keys with the start and the length of their slices, or None."""
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
     )
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(rows_per_task), F.floor(total / MAX_HEAVY_KEYS))
-    heavy = (
-        counts.withColumn("_limit", limit)
-        .where(F.col("_n") > F.col("_limit"))
-        .withColumn("_slices", F.ceil(F.col("_n") * SLICES_PER_LIMIT / F.col("_limit")))
-        .select(*keys, "_lo", F.expr("(_hi - _lo) div _slices + 1").alias("_width"))
+    large = counts.where(F.col("_n") > rows_per_task)
+    found = large.orderBy(F.col("_n").desc()).limit(MAX_HEAVY_KEYS).collect()
+    if not found:
+        return None
+    limit = max(rows_per_task, sum(row["_n"] for row in found) // MAX_HEAVY_KEYS)
+    rows = []
+    for row in found:
+        slices = -(-row["_n"] * SLICES_PER_LIMIT // limit)
+        width = (row["_hi"] - row["_lo"]) // slices + 1
+        rows.append((*[row[k] for k in keys], row["_lo"], width))
+    schema = StructType(
+        [df.schema[k] for k in keys]
+        + [StructField("_lo", LongType()), StructField("_width", LongType())]
     )
-    found = join_small(df, heavy, keys)
-    sliced = found.withColumn(SLICE, F.expr(f"({at} - _lo) div _width"))
-    return sliced.drop("_lo", "_width")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
