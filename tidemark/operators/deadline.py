@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import as_duration, epoch_us, from_epoch_us, to_us
-from tidemark.operators.skew import ROWS_PER_TASK, slice_keys, with_next_value
+from tidemark.operators.skew import (
+    ROWS_PER_TASK,
+    SLICE,
+    join_small,
+    slice_keys,
+    with_next_value,
+)
 
 
 def missing_follow_up(
@@ -32,28 +38,32 @@ def missing_follow_up(
         return _stream_missing(df, keys, first, then, deadline, lookback, ts)
     us, deadline_us = epoch_us(F.col(ts)), to_us(deadline)
     kind = df.schema[ts].dataType
+    start, paid = F.when(first, us), F.when(then, us)
+    rows = df.where(first | then).select(
+        *keys,
+        us.alias("_us"),
+        F.coalesce(then, F.lit(False)).cast("int").alias("_side"),
+        F.col(seq).alias("_seq"),
+        start.alias("_start"),
+        paid.alias("_then"),
+    )
     if lookback is None:
-        # The earliest follow-up decides, one row per key; adaptive execution splits the
-        # partition of a key with very many first rows.
-        paid = df.where(then).groupBy(*keys).agg(F.min(us).alias("_paid"))
-        starts = df.where(first).select(*keys, us.alias("_start"))
-        open_ = starts.join(paid, keys, "left")
+        # The earliest follow-up of the key decides.
+        sliced, split = slice_keys(rows, keys, rows_per_task)
+        group = Window.partitionBy(*keys, SLICE)
+        linked = sliced.withColumn("_paid", F.min("_then").over(group))
+        if split:
+            heavy = sliced.where(F.col(SLICE).isNotNull())
+            earliest = heavy.groupBy(*keys).agg(F.min("_then").alias("_earliest"))
+            linked = join_small(linked, earliest, keys)
+            linked = linked.withColumn("_paid", F.coalesce("_earliest", "_paid"))
     else:
         # A follow-up in time is the first one at or after start - lookback, so starts
         # are placed there and look forward.
-        start = F.when(first, us)
-        rows = df.where(first | then).select(
-            *keys,
-            F.coalesce(start - F.lit(to_us(lookback)), us).alias("_us"),
-            F.coalesce(then, F.lit(False)).cast("int").alias("_side"),
-            F.col(seq).alias("_seq"),
-            start.alias("_start"),
-            F.when(then, us).alias("_then"),
-        )
-        sliced, split = slice_keys(rows, keys, rows_per_task)
-        order = ["_us", "_side", "_seq"]
-        linked = with_next_value(sliced, keys, order, "_then", split, "_paid")
-        open_ = linked.where(F.col("_start").isNotNull())
+        placed = rows.withColumn("_us", F.coalesce(F.col("_start") - F.lit(to_us(lookback)), "_us"))
+        sliced, split = slice_keys(placed, keys, rows_per_task)
+        linked = with_next_value(sliced, keys, ["_us", "_side", "_seq"], "_then", split, "_paid")
+    open_ = linked.where(F.col("_start").isNotNull())
     late = F.col("_paid").isNull() | (F.col("_paid") >= F.col("_start") + F.lit(deadline_us))
     return open_.where(late).select(*keys, from_epoch_us(F.col("_start"), kind).alias("first_ts"))
 
