@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import epoch_us, floor_us
 from tidemark.functions.times import DAY
+from tidemark.streaming import patterns
 
 SLOTS_PER_PERIOD = 1440
 LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -33,6 +34,8 @@ def click_cap(
     every task before the shuffle, so a key holding most of the rows stays small.
     """
     passes = cap if inclusive else cap + 1
+    if df.isStreaming:
+        return patterns.click_cap(df, keys, passes, period, ts, seq)
     limit = passes + 1
     rows = df.withColumn("_period", floor_us(epoch_us(F.col(ts)), period))
     part = [*keys, "_period"]

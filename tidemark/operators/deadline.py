@@ -15,6 +15,7 @@ from tidemark.operators.skew import (
     slice_keys,
     with_next_value,
 )
+from tidemark.streaming import patterns
 
 
 def missing_follow_up(
@@ -88,6 +89,8 @@ def lifecycle_status(
     then: Column,
     deadline: timedelta,
     ts: str = "ts",
+    seq: str = "seq",
+    wait: timedelta | None = None,
 ) -> DataFrame:
     """Exactly one ``status`` per key: ``paid``, ``timeout`` or ``no_create``.
 
@@ -95,7 +98,14 @@ def lifecycle_status(
     one that comes earlier), ``timeout`` has none in time and ``no_create`` has no
     ``first`` row.  One aggregate with partial sums before the shuffle.
     Gives ``keys, create_ts, pay_ts, status``.
+
+    A stream needs a ``wait``: so long after its first row a key without a ``first`` row
+    is given up as ``no_create`` and the key is forgotten.
     """
+    if df.isStreaming:
+        if wait is None:
+            raise ValueError("a streaming lifecycle_status needs a wait")
+        return patterns.lifecycle_status(df, keys, first, then, deadline, wait, ts, seq)
     us = epoch_us(F.col(ts))
     per_key = (
         df.where(first | then)

@@ -18,6 +18,7 @@ from tidemark.operators.skew import (
     summarise,
     with_previous,
 )
+from tidemark.streaming import patterns
 
 
 def reconcile(
@@ -37,6 +38,8 @@ def reconcile(
     and not yet taken, as with one pending row per key.  So a key with many rows on both
     sides gives no product of them, and both tables are shuffled once, together.
     """
+    if left.isStreaming:
+        return patterns.reconcile(left, right, key, tolerance, ts, seq)
     sides = _side(left, key, ts, seq, 0).unionByName(
         _side(right, key, ts, seq, 1), allowMissingColumns=True
     )

@@ -28,6 +28,7 @@ from tidemark.operators.skew import (
     with_next_value,
     with_previous,
 )
+from tidemark.streaming import patterns
 
 ORDER = ["_us", "_seq"]
 
@@ -46,6 +47,8 @@ def strict_sequence(
 
     Gives ``keys, first_ts, last_ts``.  Matches may overlap.
     """
+    if df.isStreaming:
+        return patterns.strict_sequence(df, keys, first, then, within, ts, seq)
     rows = df.select(
         *keys,
         F.col(seq).alias("_seq"),
@@ -93,6 +96,8 @@ def followed_by(
     ``kind`` is ``matched`` if that row is less than ``within`` later, else ``timeout``
     with ``then_ts`` NULL.  Gives ``keys, first_ts, then_ts, kind``.
     """
+    if df.isStreaming:
+        return patterns.followed_by(df, keys, first, then, within, ts, seq)
     us = epoch_us(F.col(ts))
     rows = df.where(first | then).select(
         *keys,
@@ -133,6 +138,8 @@ def fail_burst(
     plain aggregate.  Only fails beyond it, which need an unbroken run of fails longer
     than ``horizon``, are walked in order, in Arrow batches and with constant memory.
     """
+    if df.isStreaming:
+        return patterns.fail_burst(df, keys, is_fail, horizon, min_count, ts, seq)
     horizon_us = to_us(horizon)
     rows = df.select(
         *keys,
