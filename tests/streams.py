@@ -13,7 +13,10 @@ FAR = 10_000_000  # seconds after the base: a sentinel row that closes everythin
 
 
 def as_stream(spark, rows, schema, sentinel, delay=timedelta(0), parts=3, ts="ts", order=None):
-    """``rows`` in ``parts`` files, one per micro-batch, then the sentinel in two more."""
+    """``rows`` in ``parts`` files, one per micro-batch, then the sentinel in two more.
+
+    No ``delay`` leaves the watermark to the caller.
+    """
     path = tempfile.mkdtemp(prefix="stream-")
     rows = sorted(rows, key=order) if order else rows
     size = -(-len(rows) // parts) or 1
@@ -26,7 +29,7 @@ def as_stream(spark, rows, schema, sentinel, delay=timedelta(0), parts=3, ts="ts
         .option("latestFirst", "false")
         .parquet(f"{path}/*")
     )
-    return with_event_time(stream, ts, delay)
+    return stream if delay is None else with_event_time(stream, ts, delay)
 
 
 def drain(spark, df, mode="append"):
