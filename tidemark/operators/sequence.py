@@ -10,8 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -135,8 +135,9 @@ def fail_burst(
 
     A fail after another row, or after a gap longer than ``horizon``, certainly opens a
     burst; the fails up to the next such head form an island, and its first burst is a
-    plain aggregate.  Only fails beyond it, which need an unbroken run of fails longer
-    than ``horizon``, are walked in order, in Arrow batches and with constant memory.
+    plain aggregate made where the rows already are.  What goes on to the second shuffle
+    are bursts and the fails beyond them, which need an unbroken run of fails longer than
+    ``horizon``; those are walked in order, in Arrow batches and with constant memory.
     """
     if df.isStreaming:
         return patterns.fail_burst(df, keys, is_fail, horizon, min_count, ts, seq)
@@ -158,36 +159,42 @@ def fail_burst(
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*ORDER)
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     islands = fails.withColumn("_island", latest(F.col("_head")).over(so_far))
+    edge = F.lit(False)
     if split:
-        heads = summarise(fails, keys, F.max("_head").alias("_open"))
-        carry = heads.select(
-            *keys, SLICE, latest(F.col("_open")).over(slices_before(keys)).alias("_open")
-        )
+        heads = summarise(fails, keys, F.max("_head").alias("_last"))
+        before = latest(F.col("_last")).over(slices_before(keys))
+        carry = heads.select(*keys, SLICE, "_last", before.alias("_before"))
         islands = join_small(islands, carry, [*keys, SLICE])
-        islands = islands.withColumn("_island", F.coalesce("_island", "_open")).drop("_open")
+        islands = islands.withColumn("_island", F.coalesce("_island", "_before"))
+        # Only the islands at the ends of a slice can reach into another one.
+        edge = F.col("_island").eqNullSafe(F.col("_last")) | F.col("_island").eqNullSafe(
+            F.col("_before")
+        )
 
-    group = [*keys, "_island"]
+    # The first burst of an island becomes one row (in a heavy key one per slice) where
+    # the rows already are; fails beyond it stay rows of their own.
     in_first = F.col("_us") <= F.col("_island._us") + F.lit(horizon_us)
-    first_bursts = (
-        islands.where(in_first)
-        .groupBy(*group)
+    parts = (
+        islands.groupBy(*keys, SLICE, "_island", F.when(~in_first, F.struct(*ORDER)).alias("_own"))
         .agg(
-            F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.count(F.lit(1)).alias("cnt")
+            F.min("_us").alias("_from"),
+            F.max("_us").alias("_to"),
+            F.count(F.lit(1)).alias("cnt"),
+            F.max(edge).alias("_edge"),
         )
-        .drop("_island")
+        .where(F.col("_own").isNotNull() | F.col("_edge") | (F.col("cnt") >= min_count))
     )
-    in_island = Window.partitionBy(*group).orderBy(*ORDER)
-    rest = islands.where(~in_first).select(
-        *keys, "_us", (F.row_number().over(in_island) == 1).alias("_new")
+    in_island = Window.partitionBy(*keys, "_island").orderBy("_from", "_own")
+    numbered = parts.select(
+        *keys, "_from", "_to", "cnt", (F.row_number().over(in_island) == 1).alias("_new")
     )
     schema = StructType(
         [rows.schema[k] for k in keys]
         + [StructField(name, LongType()) for name in ("_from", "_to", "cnt")]
     )
-    later_bursts = rest.mapInArrow(_burst_walker(keys, horizon_us), schema)
     kind = df.schema[ts].dataType
     return (
-        first_bursts.unionByName(later_bursts)
+        numbered.mapInArrow(_burst_walker(keys, horizon_us), schema)
         .where(F.col("cnt") >= min_count)
         .select(
             *keys,
@@ -199,37 +206,42 @@ def fail_burst(
 
 
 def _burst_walker(keys: list[str], horizon_us: int):
-    """Cut sorted runs of fails into bursts; ``_new`` marks the first fail of a run.
+    """Join the sorted parts of islands into bursts; ``_new`` marks the first part of an island.
 
     The open burst is the only thing kept between batches.
     """
+    values = ["_from", "_to", "cnt"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, burst = None, None
         for batch in batches:
-            if schema is None:
-                schema = pa.schema(
-                    [batch.schema.field(k) for k in keys]
-                    + [pa.field(name, pa.int64()) for name in ("_from", "_to", "cnt")]
-                )
+            if not batch.num_rows:
+                continue
+            result = batch.select([*keys, *values])
+            schema = result.schema
+            first, last, cnt = (batch.column(name).to_numpy() for name in values)
+            new = batch.column("_new").to_numpy(zero_copy_only=False)
+            so_far = np.concatenate(([0], cnt.cumsum()))
+            bounds = np.unique(np.concatenate(([0], np.flatnonzero(new), [batch.num_rows])))
+            starts, ends = bounds[:-1], bounds[1:]
+            # An island of one part is a burst already; the last may go on in the next batch.
+            alone = (ends - starts == 1) & (ends < batch.num_rows) & new[starts]
+            yield result.take(pa.array(starts[alone]))
             done = []
-            us = batch.column("_us").to_numpy()
-            starts = pc.indices_nonzero(batch.column("_new")).to_pylist()
-            runs = sorted({0, *starts, batch.num_rows})
-            for at, end in zip(runs, runs[1:]):
-                if at not in starts[:1] and at == 0:
-                    # The run goes on from the batch before: extend its open burst.
-                    reach = int(us[:end].searchsorted(burst["_from"] + horizon_us, "right"))
-                    if reach:
-                        burst["_to"] = int(us[reach - 1])
-                        burst["cnt"] += reach
-                    at = reach
+            for at, end in zip(starts[~alone].tolist(), ends[~alone].tolist()):
+                if not new[at]:
+                    # The island goes on from the batch before: extend its open burst.
+                    at = int(first[:end].searchsorted(burst["_from"] + horizon_us, "right"))
+                    if at:
+                        burst["_to"] = int(last[at - 1])
+                        burst["cnt"] += int(so_far[at])
                 while at < end:
                     if burst:
                         done.append(burst)
-                    reach = at + int(us[at:end].searchsorted(us[at] + horizon_us, "right"))
+                    reach = at + int(first[at:end].searchsorted(first[at] + horizon_us, "right"))
                     burst = {k: batch.column(k)[at].as_py() for k in keys}
-                    burst |= {"_from": int(us[at]), "_to": int(us[reach - 1]), "cnt": reach - at}
+                    burst["_from"], burst["_to"] = int(first[at]), int(last[reach - 1])
+                    burst["cnt"] = int(so_far[reach] - so_far[at])
                     at = reach
             yield pa.RecordBatch.from_pylist(done, schema)
         if burst:
