@@ -5,7 +5,7 @@ That is fine for ordinary keys.  A heavy key is cut into time slices, each its o
 group, and what a slice needs from the slices around it is taken from a small summary
 with one row per slice.
 
-Heavy keys are found first, by a count per key over the key and time columns alone.
+Heavy keys are found first, by a count per key that reads the key columns alone.
 Only the ``MAX_HEAVY_KEYS`` largest are cut, which covers every key above
 ``1 / MAX_HEAVY_KEYS`` of all rows, and into at most
 ``(SLICES_PER_LIMIT + 1) * MAX_HEAVY_KEYS`` slices, whatever the input: both tables
@@ -25,8 +25,8 @@ ROWS_PER_TASK = 1_000_000
 
 MAX_HEAVY_KEYS = 20_000
 
-# Slices are of equal length in time; more of them than needed evens out busy hours.
-SLICES_PER_LIMIT = 4
+# Slices are of equal length in time; many more than needed, so a busy hour still fits a task.
+SLICES_PER_LIMIT = 16
 
 SLICE = "_slice"
 
@@ -48,24 +48,22 @@ def slice_keys(
 
 def _heavy_keys(df, keys, rows_per_task, at):
     """The largest keys with the start and the length of their slices, or None."""
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
-    )
-    large = counts.where(F.col("_n") > rows_per_task)
-    found = large.orderBy(F.col("_n").desc()).limit(MAX_HEAVY_KEYS).collect()
+    spark = df.sparkSession
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    found = counts.orderBy(F.col("_n").desc()).limit(MAX_HEAVY_KEYS).collect()
     if not found:
         return None
     limit = max(rows_per_task, sum(row["_n"] for row in found) // MAX_HEAVY_KEYS)
-    rows = []
-    for row in found:
-        slices = -(-row["_n"] * SLICES_PER_LIMIT // limit)
-        width = (row["_hi"] - row["_lo"]) // slices + 1
-        rows.append((*[row[k] for k in keys], row["_lo"], width))
-    schema = StructType(
-        [df.schema[k] for k in keys]
-        + [StructField("_lo", LongType()), StructField("_width", LongType())]
+    sizes = [(*row[:-1], -(-row["_n"] * SLICES_PER_LIMIT // limit)) for row in found]
+    schema = StructType([df.schema[k] for k in keys] + [StructField("_slices", LongType())])
+    heavy = join_small(df, spark.createDataFrame(sizes, schema), keys)
+    spans = (
+        heavy.where(F.col("_slices").isNotNull())
+        .groupBy(*keys, "_slices")
+        .agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+        .select(*keys, "_lo", F.expr("(_hi - _lo) div _slices + 1").alias("_width"))
     )
-    return df.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame(spans.collect(), spans.schema)
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
