@@ -66,10 +66,10 @@ def sliding_counts(rows, size, slide):
     """``(key, end) -> count`` for ``(key, ts)`` rows; ends relative to the base."""
     counts = Counter()
     for key, ts in rows:
-        end = (BASE + ts) // slide * slide + slide
-        while end - size <= BASE + ts:
-            counts[key, end - BASE] += 1
-            end += slide
+        start = (BASE + ts) // slide * slide
+        while start > BASE + ts - size:
+            counts[key, start + size - BASE] += 1
+            start -= slide
     return counts
 
 

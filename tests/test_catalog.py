@@ -46,7 +46,39 @@ def test_entry(spark):
     assert entry_points.entry(spark).columns == ["item_id", "window_end", "cnt", "rank"]
 
 
+# Shuffles of each plan: one per change of grouping.
+SHUFFLES = {
+    "page_views": 1,
+    "key_sliding_count": 2,
+    "hot_items_topn": 3,
+    "consecutive_fail_pairs": 1,
+    "create_pay_match": 1,
+    "unpaid_orders": 1,
+    "unpaid_orders_lookback": 1,
+    "order_lifecycle": 1,
+    "click_cap_warnings": 1,
+    "fail_burst": 1,
+    "reconcile_matched": 2,  # one for the first shipment of each order
+}
+
+
+@pytest.mark.parametrize("name", sorted(SHUFFLES))
+def test_shuffles(spark, name):
+    text = plan_of(spark, name)
+    assert text.count("Exchange hashpartitioning") == SHUFFLES[name]
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_no_products(spark, name):
+    text = plan_of(spark, name)
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def plan_of(spark, name):
+    df = entry_points.queries()[name](spark, str(DATA))
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scans_are_pruned(spark):
-    plan = entry_points.queries()["page_views"](spark, str(DATA))
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    text = plan_of(spark, "page_views")
     assert "EqualTo(event_type,view)" in text and "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in text

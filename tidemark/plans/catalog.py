@@ -72,6 +72,7 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hot_pages_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = accepted(parse_access_log(access_lines(spark, sf_dir)))
+    pages = pages.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return op.top_n(op.window_count(pages, ["url"], 6 * HOUR, HOUR), 5, "url")
 
 
