@@ -92,18 +92,18 @@ def running_distinct(
         "_start", F.explode(F.sequence("_from", "_to", F.lit(step_us))).alias("_slot"), "_add"
     )
 
-    rows = (
-        events.select("_start", "_slot", "_us", seq, F.lit(2).alias("_kind"), F.lit(0).cast("bigint").alias("_add"), F.struct(*df.columns).alias("_row"))
-        .unionByName(
-            marks.select("*", F.lit(1).alias("_kind"), F.lit(1).cast("bigint").alias("_add")),
-            allowMissingColumns=True,
-        )
-        .unionByName(
-            carried.select("*", F.col("_slot").alias("_us"), F.lit(0).alias("_kind")),
-            allowMissingColumns=True,
-        )
-    )
-    order = Window.partitionBy("_start", "_slot").orderBy("_us", F.col(seq).asc_nulls_first(), "_kind")
+    def marker(rows, kind, add):
+        return rows.withColumns({"_kind": F.lit(kind), "_add": add.cast("bigint")})
+
+    placed = events.select("_start", "_slot", "_us", seq, F.struct(*df.columns).alias("_row"))
+    rows = marker(placed, 2, F.lit(0))
+    for markers in (
+        marker(marks, 1, F.lit(1)),
+        marker(carried.withColumn("_us", F.col("_slot")), 0, F.col("_add")),
+    ):
+        rows = rows.unionByName(markers, allowMissingColumns=True)
+    in_slot = Window.partitionBy("_start", "_slot")
+    order = in_slot.orderBy("_us", F.col(seq).asc_nulls_first(), "_kind")
     counted = rows.select(
         "_row",
         "_kind",
