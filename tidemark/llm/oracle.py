@@ -12,6 +12,22 @@ SELECT doc_id,
 FROM texts
 """
 
+# Base32 of a SHA-1: eight times five hexadecimal digits, four letters each.
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE32_SHA1 = f"""array_to_string(list_transform(range(32), lambda i:
+    substr('{LETTERS}', 1 + ((('0x' || substr(sha1(payload), 1 + 5 * (i // 4), 5))::BIGINT
+                             >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '')"""
+
+DICTIONARY_WARC = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages)
+SELECT page_id,
+       strlen(payload) AS payload_bytes,
+       {BASE32_SHA1} AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM payloads WINDOW same AS (PARTITION BY payload)
+"""
+
 FAIR_QUEUE_MIX = r"""
 WITH sized AS (
     SELECT doc_id, source, md5('mix' || doc_id) AS place,
@@ -77,6 +93,7 @@ FROM ruled
 
 ORACLE = {
     "op2_chunk_recipe_dedup": CHUNK_RECIPE_DEDUP,
+    "op3_dictionary_warc": DICTIONARY_WARC,
     "op8_fair_queue_mix": FAIR_QUEUE_MIX,
     "op9_url_rule_filter": URL_RULE_FILTER,
 }

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import chunk_dedup, mixing, url_rules
+from tidemark.llm import chunk_dedup, mixing, packing, pu_quality, url_rules, warc
 from tidemark.llm.tables import table
 
 
@@ -14,6 +16,15 @@ def op2_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queue(table(spark, sf_dir, "documents"))
 
@@ -30,7 +41,27 @@ def op9_url_rule_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), HOST_RULES + url_rules.DEFAULT_RULES)
 
 
+def op10_square_sum_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_chunk_recipe_dedup, op8_fair_queue_mix, op9_url_rule_filter)
+    for query in (
+        op2_chunk_recipe_dedup,
+        op3_dictionary_warc,
+        op4_pu_quality,
+        op8_fair_queue_mix,
+        op9_url_rule_filter,
+        op10_square_sum_packing,
+    )
 }
