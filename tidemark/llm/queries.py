@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunk_dedup, mixing, packing, pu_quality, url_rules, warc
+from tidemark.llm import chunk_dedup, curves, mixing, packing, pu_quality, url_rules, warc
 from tidemark.llm.tables import table
 
 
+def op1_shifted_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op2_chunk_recipe_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_square_sum_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_shifted_curves,
         op2_chunk_recipe_dedup,
         op3_dictionary_warc,
         op4_pu_quality,
