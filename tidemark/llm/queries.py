@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunk_dedup, curves, mixing, packing, pu_quality, url_rules, warc
+from tidemark.llm import (
+    chunk_dedup,
+    curves,
+    line_templates,
+    mixing,
+    packing,
+    pu_quality,
+    sentence_spans,
+    url_rules,
+    warc,
+)
 from tidemark.llm.tables import table
 
 
@@ -29,6 +39,14 @@ def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+
+
+def op6_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queue(table(spark, sf_dir, "documents"))
 
@@ -65,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_chunk_recipe_dedup,
         op3_dictionary_warc,
         op4_pu_quality,
+        op5_template_line_dedup,
+        op6_sentence_span_dedup,
         op8_fair_queue_mix,
         op9_url_rule_filter,
         op10_square_sum_packing,
