@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     chunk_dedup,
     curves,
+    jaccard,
     line_templates,
     mixing,
     packing,
@@ -47,6 +48,10 @@ def op6_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op7_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queue(table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_pu_quality,
         op5_template_line_dedup,
         op6_sentence_span_dedup,
+        op7_set_relation_join,
         op8_fair_queue_mix,
         op9_url_rule_filter,
         op10_square_sum_packing,
