@@ -7,8 +7,11 @@ array of levels, so nothing is shuffled and no group meets in one place.
 
 from __future__ import annotations
 
+import os
+import unicodedata
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +28,32 @@ MOST_OPEN = 4096
 BATCH_BYTES, MOST_WORDS = 4 << 20, 1_000_000
 
 
+#: ASCII characters that are neither letters, digits, white space nor apostrophe.
+PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+
+
+def ends_in_letter(word: str) -> bool:
+    """Whether the last character stays a letter when normalised and lower-cased."""
+    return unicodedata.normalize("NFC", word[-1]).lower().isalpha()
+
+
 class WordEncoder:
     """Encodes texts word by word and remembers the ids of words.
 
-    Right for tokenizers that drop white space and never join pieces across it: the ids of a
-    text are then those of its words in turn.
+    Right for tokenizers that lower-case, drop white space, never join pieces across it, part
+    letters from the punctuation behind them and mark the last piece of a word with ``</w>``:
+    the ids of a text are then those of its words in turn, and those of a word end where the
+    letters end.
     """
 
     def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.end = np.array([end_id], "<u4").tobytes()
         self.ids: dict[bytes, bytes] = {}
 
@@ -43,15 +61,43 @@ class WordEncoder:
         """Ids of each text and the end id, as little-endian unsigned 32-bit numbers."""
         if len(self.ids) > MOST_WORDS:
             self.ids.clear()
-        split = [text.split() for text in texts]
-        new = list({word for words in split for word in words if word not in self.ids})
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            encoded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.ids.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded, strict=True))
+        # A special token is known by its case, so a text that may hold one keeps it.
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        self.learn(set(chain.from_iterable(split)).difference(self.ids))
         for words in split:
             yield b"".join([*map(self.ids.__getitem__, words), self.end])
 
+    def learn(self, words: set[bytes]) -> None:
+        ended, parts = [], set()
+        for word in words:
+            letters = word if b"<|" in word else word.rstrip(PUNCTUATION)
+            if len(letters) < len(word) and letters and ends_in_letter(letters.decode()):
+                ended.append((word, letters, word[len(letters) :]))
+                parts.update(ended[-1][1:])
+            else:
+                parts.add(word)
+        self.encode([part.decode() for part in parts.difference(self.ids)])
+        for word, letters, rest in ended:
+            self.ids[word] = self.ids[letters] + self.ids[rest]
+
+    def encode(self, parts: list[str]) -> None:
+        """Words of letters go through the tokenizer as one text, others each by itself."""
+        plain = [part for part in parts if part.isalpha()]
+        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) == len(plain):
+            data, begin = ids.tobytes(), 0
+            for part, end in zip(plain, (4 * ends).tolist(), strict=True):
+                self.ids[part.encode()] = data[begin:end]
+                begin = end
+        else:  # lower-casing made something else of a letter
+            self.encode_each(plain)
+        self.encode_each([part for part in parts if not part.isalpha()])
+
+    def encode_each(self, parts: list[str]) -> None:
+        for part, found in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
+            self.ids[part.encode()] = np.array(found.ids, "<u4").tobytes()
+
 
 class Piece:
     """Ids ``start`` and following of a document."""
