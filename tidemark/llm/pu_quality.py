@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -209,3 +210,26 @@ def score_documents(
     id_type = docs.schema[id_col].dataType.simpleString()
     scores = features.mapInArrow(scored, f"doc_id {id_type}, held_out boolean, score double")
     return scores.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label: str = "quality",
+) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns.
+
+    Learns like ``score_documents``; the texts are then scored where they lie, without a join.
+    """
+    features = feature_table(docs, id_col, text_col)
+    model = train(features, labels.select(F.col(id_col).alias("doc_id"), label), label)
+
+    def scores(texts: pd.Series) -> pd.Series:
+        x = [text_features((text or "").encode()) for text in texts]
+        return pd.Series(model.score(np.array(x, float).reshape(-1, N_FEATURES)))
+
+    score = F.pandas_udf(scores, "double")
+    return docs.where(score(F.col(text_col)) >= threshold)

@@ -68,9 +68,9 @@ def op9_url_rule_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), HOST_RULES + url_rules.DEFAULT_RULES)
 
 
-def op10_square_sum_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer).select(
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Pieces of packed documents with the CRC of their ids in place of the ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id",
         "start",
         (F.octet_length("ids") / 4).cast("long").alias("length"),
@@ -81,6 +81,10 @@ def op10_square_sum_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_square_sum_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
