@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import spread_lookup, stored
 
 #: Leading tokens that choose the leaf, and documents a template must stand in.
-DEPTH, MIN_DOCS = 3, 10
+DEPTH, MIN_DOCS = 4, 10
 
 #: Shorter lines are never templates; so much of a template must be constant.
 MIN_TOKENS, CONSTANT = 4, 0.7
@@ -22,22 +22,31 @@ MIN_TOKENS, CONSTANT = 4, 0.7
 VARIABLE = "<*>"
 
 
-def masked(line: Column) -> Column:
-    """``line`` in lower case, single spaces, with tokens that hold a digit as variable."""
-    spaced = F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
-    return F.regexp_replace(spaced, r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)
+def line_key(line: Column) -> Column:
+    return F.unhex(F.md5(line))
 
 
-def line_key(line: Column) -> Column:
-    return F.unhex(F.md5(masked(line)))
+def masked_texts(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with the column ``_masked``: the text in lower case, with tokens that hold a
+    digit as variable.  It has the lines of the text, one for one."""
+    low = docs.withColumn("_low", F.lower(text))
+    variable = F.regexp_replace("_low", r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)
+    return low.withColumn("_masked", F.when(F.col("_low").rlike(r"\d"), variable).otherwise(F.col("_low"))).drop("_low")
+
+
+def clean(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\r"))
 
 
 def line_table(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """``doc_id``, ``line`` (masked), ``tokens``, ``leaf`` for every line long enough."""
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    tokens = lines.select("doc_id", masked(F.col("line")).alias("line")).withColumn("tokens", F.split("line", " "))
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
-    return tokens.where(F.size("tokens") >= min_tokens).withColumn("leaf", leaf)
+    """``doc_id``, ``line`` (masked) and ``leaf`` for every line long enough.
+
+    Tokens are parted by single spaces; the leaf is their number and the first ``depth``."""
+    lines = masked_texts(docs, F.col("text")).select("doc_id", F.explode(F.split("_masked", "\n")).alias("line"))
+    lines = lines.select("doc_id", clean(F.col("line")).alias("line"))
+    spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
+    leaf = F.xxhash64(spaces, F.substring_index("line", " ", depth))
+    return lines.where(spaces >= min_tokens - 1).withColumn("leaf", leaf)
 
 
 def templates(lines: DataFrame, leaves: DataFrame, min_docs: int, constant: float) -> DataFrame:
@@ -106,10 +115,14 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .agg(F.collect_set("key").alias("_drops"))
     )
     joined = docs.join(drops, F.col(id_col) == F.col("_drop_id"), "left")
-    lines = F.split(text_col, "\n")
-    kept = F.filter(lines, lambda line: ~F.array_contains("_drops", line_key(line)))
-    split = joined.withColumn("_kept", F.when(F.col("_drops").isNotNull(), kept))
-    changed = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
-    gone = F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("_kept"))
+    # Only texts with lines to drop are parted again.
+    dropping = F.col("_drops").isNotNull()
+    low = masked_texts(joined, F.when(dropping, F.col(text_col)))
+    both = F.arrays_zip(F.split(text_col, "\n").alias("line"), F.split("_masked", "\n").alias("low"))
+    kept = F.filter(both, lambda x: ~F.array_contains("_drops", line_key(clean(x["low"]))))
+    split = low.withColumn("_kept", F.when(dropping, kept))
+    changed = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.array_join(F.col("_kept.line"), "\n"))
+    lines = F.octet_length(text_col) - F.octet_length(F.replace(text_col, F.lit("\n"), F.lit(""))) + 1
+    gone = F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(lines - F.size("_kept"))
     out = [changed.alias(c) if c == text_col else F.col(c) for c in columns]
     return split.select(*out, gone.cast("long").alias("dropped_lines"))
