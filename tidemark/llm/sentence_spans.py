@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -23,131 +24,153 @@ SENTENCES, WORDS = 3, 12
 #: A sentence is cut after so many words, so that text without stops has sentences too.
 LONGEST = 16
 
-SENTENCE_END = re.compile(rb"(?<=[.!?])\s+|\n\s*")
-SOME_WORDS = re.compile(rb"\s*(?:\S++(?:\s+|\Z)){%d}" % LONGEST)
+SENTENCE = re.compile(rb"[^.!?\n]*+(?:[.!?]++(?!\s)[^.!?\n]*+)*+(?:[.!?]*+\s++)?")
+SOME_WORDS = re.compile(rb"\s*(?:\S++(?:\s+|\Z)){1,%d}|\s+" % LONGEST)
+
+#: Odd factors of the two halves of a run's hash.
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
+INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in FACTORS], np.uint64)
+
+#: Documents hashed together.
+TOGETHER = 500
 
 
 def sentences(text: bytes) -> list[bytes]:
     """The sentences of a text in order, each with the white space behind it; joined they are
     the text."""
-    out, start = [], 0
-    ends = [match.end() for match in SENTENCE_END.finditer(text)]
-    for end in [*ends, len(text)]:
-        if end - start > 2 * LONGEST:  # may have more than LONGEST words
-            for match in SOME_WORDS.finditer(text, start, end):
-                out.append(match[0])
-                start = match.end()
-        if end > start:
-            out.append(text[start:end])
-        start = end
-    return out
-
-
-def runs(parts: list[bytes], least: int, words: int) -> list[tuple[int, int, bytes]]:
-    """Begin, end and 128-bit hash of the shortest long enough run from every sentence on.
-
-    Case and white space do not count; sentences without words extend a run for nothing."""
-    split = [part.lower().split() for part in parts]
-    hashes = [xxhash.xxh3_128_digest(b" ".join(w)) for w in split]
-    counts = [len(w) for w in split]
-    out, end, inside, filled = [], 0, 0, 0
-    for begin in range(len(parts)):
-        while end < len(parts) and (filled < least or inside < words):
-            inside += counts[end]
-            filled += counts[end] > 0
-            end += 1
-        if filled < least or inside < words:
-            break
-        if counts[begin]:
-            said = b"".join(h for h, c in zip(hashes[begin:end], counts[begin:end], strict=True) if c)
-            out.append((begin, end, xxhash.xxh3_128_digest(said)))
-        inside -= counts[begin]
-        filled -= counts[begin] > 0
-    return out
+    out = []
+    for part in SENTENCE.findall(text):
+        if part.count(b" ") < LONGEST or len(part.split()) <= LONGEST:
+            out.append(part)
+        else:
+            out.extend(SOME_WORDS.findall(part))
+    return out[:-1]  # the last match is empty
+
+
+class Runs:
+    """The shortest long enough runs from every sentence of some texts on.
+
+    ``owner``: the text of each run; ``begin``, ``end``: its sentences, counted over all texts;
+    ``hashes``: two 64-bit halves; ``again``: whether it stands earlier in the same text.  Case
+    and white space do not count.
+    """
+
+    def __init__(self, texts: list[bytes], least: int, words: int):
+        self.parts = [sentences(text) for text in texts]
+        said = [part.lower().split() for parts in self.parts for part in parts]
+        counts = np.fromiter(map(len, said), np.int64, len(said))
+        self.first = np.concatenate([[0], np.cumsum([len(parts) for parts in self.parts])]).astype(np.int64)
+        owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        digests = b"".join([xxhash.xxh3_128_digest(b" ".join(w)) for w in said])
+        hashes = np.frombuffer(digests, np.uint64).reshape(-1, 2) * (counts > 0)[:, None].astype(np.uint64)
+        # A run ends once both its words and its sentences with words are enough.
+        word_sum, filled = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts > 0))
+        end = np.maximum(np.searchsorted(word_sum, word_sum[:-1] + words), np.searchsorted(filled, filled[:-1] + least))
+        starts = np.flatnonzero((end <= self.first[owner + 1]) & (counts > 0))
+        self.begin, self.end, self.owner = starts, end[starts], owner[starts]
+        # Sentences without words add nothing and take no power, so they change no hash.
+        power = np.concatenate([[0], np.cumsum(counts > 0)[:-1]]) if len(counts) else np.zeros(0, np.int64)
+        self.hashes = np.empty((len(starts), 2), np.uint64)
+        for half in range(2):
+            up = powers(FACTORS[half], int(filled[-1]) + 1)
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[:, half] * up[power], dtype=np.uint64)])
+            down = powers(INVERSES[half], int(filled[-1]) + 1)
+            self.hashes[:, half] = (total[self.end] - total[self.begin]) * down[power[starts]]
+        order = np.lexsort((self.begin, self.hashes[:, 1], self.hashes[:, 0], self.owner))
+        same = (self.hashes[order][1:] == self.hashes[order][:-1]).all(1) & (np.diff(self.owner[order]) == 0)
+        self.again = np.zeros(len(starts), bool)
+        self.again[order[1:][same]] = True
+
+
+def powers(factor: np.uint64, count: int) -> np.ndarray:
+    out = np.full(count, factor, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
 def run_table(docs: DataFrame, least: int, words: int) -> DataFrame:
-    """``h1``, ``h2``, ``doc_id``: the distinct runs of every row."""
+    """``h1``, ``h2``, ``doc_id``, ``again``: the distinct runs of every row, and whether it holds
+    them more than once."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.cast(batch.column(1), pa.binary())
-            for start in range(0, batch.num_rows, 500):
-                ids, found = [], []
-                for doc_id, text in zip(batch.column(0).slice(start, 500), texts.slice(start, 500), strict=True):
-                    here = {run for _, _, run in runs(sentences(text.as_py() or b""), least, words)}
-                    found.extend(here)
-                    ids.extend([doc_id.as_py()] * len(here))
-                halves = pa.Array.from_buffers(pa.int64(), 2 * len(found), [None, pa.py_buffer(b"".join(found))])
-                even = pa.array(range(0, 2 * len(found), 2), pa.int64())
-                columns = [halves.take(even), halves.take(pc.add(even, 1)), pa.array(ids, batch.column(0).type)]
-                yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc_id"])
+            for start in range(0, batch.num_rows, TOGETHER):
+                runs = Runs([t or b"" for t in texts.slice(start, TOGETHER).to_pylist()], least, words)
+                table = pa.table({"h1": runs.hashes[:, 0].view(np.int64), "h2": runs.hashes[:, 1].view(np.int64), "owner": runs.owner, "again": runs.again})
+                distinct = table.group_by(["h1", "h2", "owner"]).aggregate([("again", "max")]).combine_chunks()
+                ids = batch.column(0).slice(start, TOGETHER).take(distinct.column("owner").combine_chunks())
+                columns = [distinct.column("h1").combine_chunks(), distinct.column("h2").combine_chunks(), ids, distinct.column("again_max").combine_chunks()]
+                yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc_id", "again"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(hashed, f"h1 long, h2 long, doc_id {id_type}")
+    return docs.select("doc_id", "text").mapInArrow(hashed, f"h1 long, h2 long, doc_id {id_type}, again boolean")
 
 
 def repeated_runs(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """``doc_id``, ``repeats_of``, ``runs`` for documents with runs first seen elsewhere."""
-    found = run_table(docs.where(F.col("doc_id").isNotNull()), least, words)
+    """``doc_id``, ``repeats_of``, ``runs`` for documents with runs that stand elsewhere first
+    or stand in them twice."""
+    found = run_table(docs, least, words)
     repeated = (
-        found.groupBy("h1", "h2")
+        found.where(F.col("doc_id").isNotNull())
+        .groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
-    later = spread_lookup(found, repeated, ["h1", "h2"], by="doc_id", how="inner").where("doc_id <> first")
-    return later.groupBy("doc_id").agg(
-        F.array_sort(F.collect_set("first")).alias("repeats_of"),
-        F.collect_set(F.struct("h1", "h2")).alias("runs"),
+    other = F.when(F.col("doc_id") != F.col("first"), F.col("first"))
+    later = spread_lookup(found, repeated, ["h1", "h2"], by="doc_id").withColumn("other", other)
+    return (
+        later.where(F.col("doc_id").isNotNull() & (F.col("other").isNotNull() | F.col("again")))
+        .groupBy("doc_id")
+        .agg(
+            F.array_sort(F.collect_set("other")).alias("repeats_of"),
+            F.collect_set(F.when(F.col("other").isNotNull(), F.struct("h1", "h2"))).alias("runs"),
+        )
     )
 
 
 def remove_repeated_passages(
     docs: DataFrame, least: int = SENTENCES, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``sentences``, ``removed``, ``repeats_of``, ``text``.
+    """One row per row of ``docs``: ``doc_id``, ``removed``, ``repeats_of``, ``text``.
 
     ``removed`` counts the sentences that went, ``repeats_of`` lists the documents in which
-    their runs stand first, ``text`` is what stays.  Null texts stay null and have no sentences.
-    Rows without an id are only compared with themselves.  Rows with one id are one document:
-    none is taken for a repetition of the other.  An empty table gives an empty result; other
-    columns are not read.
+    their runs stand first, ``text`` is what stays.  Null texts stay null.  Rows without an id
+    stay whole.  Rows with one id are one document: none is taken for a repetition of the other.
+    An empty table gives an empty result; other columns are not read.
     """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     joined = named.join(repeated_runs(named, least, words), "doc_id", "left")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                texts, lists = pc.cast(part.column(1), pa.binary()), part.column(3)
-                totals, gone, kept = [], [], []
-                for text, later in zip(texts, lists, strict=True):
-                    value = text.as_py()
-                    parts = sentences(value or b"")
-                    stays = standing(parts, later.as_py() or (), least, words)
-                    totals.append(len(parts))
-                    gone.append(len(parts) - sum(stays))
-                    kept.append(None if value is None else b"".join(p for p, s in zip(parts, stays, strict=True) if s).decode())
-                columns = [part.column(0), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), part.column(2), pa.array(kept, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sentences", "removed", "repeats_of", "text"])
+            for start in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(start, TOGETHER)
+                kept, gone = part.column(1).to_pylist(), [0] * part.num_rows
+                marked = [i for i, runs in enumerate(part.column(3)) if runs.is_valid and kept[i]]
+                runs = Runs([kept[i].encode() for i in marked], least, words)
+                stays = standing(runs, [part.column(3)[i].as_py() for i in marked])
+                for k, i in enumerate(marked):
+                    keep = stays[runs.first[k] : runs.first[k + 1]].tolist()
+                    kept[i] = b"".join(p for p, s in zip(runs.parts[k], keep, strict=True) if s).decode()
+                    gone[i] = len(keep) - sum(keep)
+                columns = [part.column(0), pa.array(gone, pa.int64()), part.column(2), pa.array(kept, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "removed", "repeats_of", "text"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {id_type}, sentences long, removed long, repeats_of array<{id_type}>, text string"
+    schema = f"doc_id {id_type}, removed long, repeats_of array<{id_type}>, text string"
     done = joined.select("doc_id", "text", "repeats_of", "runs").mapInArrow(removed, schema)
     none = F.array().cast(f"array<{id_type}>")
     return done.withColumn("repeats_of", F.coalesce("repeats_of", none))
 
 
-def standing(parts: list[bytes], later: list[dict], least: int, words: int) -> list[bool]:
+def standing(runs: Runs, later: list[list[dict]]) -> np.ndarray:
     """Which sentences stay: those that no run of ``later`` and no second run covers."""
-    away = {x["h1"].to_bytes(8, "little", signed=True) + x["h2"].to_bytes(8, "little", signed=True) for x in later}
-    stays, seen, covered = [True] * len(parts), set(), 0
-    for begin, end, run in runs(parts, least, words):
-        if run in away or run in seen:
-            for i in range(max(begin, covered), end):
-                stays[i] = False
-            covered = max(covered, end)
-        seen.add(run)
-    return stays
+    away = {(k, x["h1"], x["h2"]) for k, found in enumerate(later) for x in found}
+    halves = runs.hashes.view(np.int64).tolist()
+    goes = runs.again | np.array([(k, *h) in away for k, h in zip(runs.owner.tolist(), halves, strict=True)], bool)
+    change = np.zeros(int(runs.first[-1]) + 1, np.int64)
+    np.add.at(change, runs.begin[goes], 1)
+    np.add.at(change, runs.end[goes], -1)
+    return np.cumsum(change)[:-1] == 0
