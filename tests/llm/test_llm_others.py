@@ -1,0 +1,304 @@
+"""Vectors, pages, quality, packing and the pipeline: brute force, round trips, held-out labels."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import curves, packing, pu_quality, url_rules, warc
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+# --- nearest neighbours
+
+
+def test_hilbert_neighbours_touch():
+    grid = np.array(np.meshgrid(*[range(8)] * 3)).reshape(3, -1).T
+    keys = curves.hilbert_keys(grid, 3)
+    assert sorted(keys) == list(range(512))
+    assert (np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(1) == 1).all()
+
+
+def cosine_top(rows, k=5):
+    good = {i: np.array(v, float) for i, v in rows if i is not None and v and None not in v and len(v) == 16}
+    good = {i: v for i, v in good.items() if np.isfinite(v).all() and v.any()}
+    out = {}
+    for q in (i for i in good if i % 50 == 0):
+        scores = {i: float(good[q] @ v / (np.linalg.norm(good[q]) * np.linalg.norm(v))) for i, v in good.items() if i != q}
+        out[q] = sorted(scores.items(), key=lambda x: (-round(x[1], 12), x[0]))[:k]
+    return out
+
+
+def test_nearest(spark):
+    dice = np.random.default_rng(4)
+    rows = [(i, dice.normal(size=16).astype("f4").tolist()) for i in range(3000)]
+    rows += [(i, rows[7][1]) for i in range(3000, 4000)]  # a large group of equal vectors
+    nan, inf = float("nan"), float("inf")
+    rows += [(4000, None), (4001, []), (4050, [0.0] * 16), (4100, [nan] * 16), (4150, [inf] + [1.0] * 15), (4151, [None] + [1.0] * 15), (4152, [1.0] * 3), (None, rows[3][1]), rows[50]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"bytes": F.lit(1), "key": F.lit("x"), "curve": F.lit(0)})
+    got = defaultdict(list)
+    for r in curves.nearest(table, lambda i: i % 50 == 0, block=300, least_reach=100).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+        assert r.rank == len(got[r.query_id])
+    want = cosine_top(rows)
+    assert got.keys() == want.keys()
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]
+    assert np.mean(hits) >= 0.9
+    by_id = dict(rows)
+    for q, found in got.items():
+        assert len(found) == 5 and [s for _, s in found] == sorted((s for _, s in found), reverse=True)
+        for i, score in found:
+            a, b = np.array(by_id[q]), np.array(by_id[i])
+            assert score == pytest.approx(a @ b / np.sqrt((a @ a) * (b @ b)), abs=1e-12)
+    assert [i for i, _ in got[3000]] == [7, 3001, 3002, 3003, 3004]
+
+
+def test_nearest_of_few(spark):
+    schema = "vec_id long, embedding array<double>"
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 2.0])], schema)
+    got = curves.nearest(few, lambda i: i % 50 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+    assert curves.nearest(few.where("vec_id = 0"), lambda i: i % 50 == 0).count() == 0
+    assert curves.nearest(few.where("vec_id > 99"), lambda i: i % 50 == 0).count() == 0
+
+
+# --- archives
+
+
+def test_archives_round_trip(spark):
+    rng = random.Random(1)
+    page = lambda: "<html><p>" + " ".join(rng.choice(["für", "and", "page", "two\r\n\r\n"]) for _ in range(rng.randrange(300))) + "</p></html>"
+    htmls = [page() for _ in range(60)] + [None, "", "", "x" * 300_000]
+    rows = [(i, f"http://h/{i}", h) for i, h in enumerate(htmls)] + [(100 + i, None, htmls[i % 7]) for i in range(40)]
+    rows += [(500, "http://a b\r\nX: 1", htmls[2]), (500, "http://a b", htmls[2]), (None, "u", htmls[9])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"digest": F.lit(1), "payload": F.lit("x")})
+    got = warc.archive_round_trip(spark, pages).collect()
+    assert len(got) == len(rows)
+    largest = {}
+    for i, _, html in rows:
+        largest[html or ""] = max(largest.get(html or "", -1), -1 if i is None else i)
+    want = Counter()
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        first = largest[html or ""]
+        other = i != first
+        want[i, len(payload), digest, "revisit" if other else "response", first if other else None] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+    for r in got:
+        if r.record_type == "response":
+            assert len(r.payload) == r.payload_bytes
+    large = warc.archive_round_trip(spark, pages, least_bytes=1)
+    assert large.where("payload_bytes = 0 and record_type = 'revisit'").count() == 0
+
+
+def test_archives_hold_a_dictionary_and_single_records(spark, tmp_path):
+    rows = [(i, "http://h/", f"<html>{i} some text that pages share {i % 3}</html>") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    listed = warc.write_archives(pages, f"file://{tmp_path}/a", archive_bytes=20_000).collect()
+    assert sum(r.records for r in listed) == 300 and len(listed) > 1
+    for r in listed:
+        with open(tmp_path / "a" / r.archive, "rb") as source:
+            records = list(warc.frames(source, block=100))
+        assert len(records) == r.records
+        assert all(x.startswith(b"WARC/1.1\r\n") and x.endswith(b"\r\n\r\n") for x in records)
+    empty = warc.archive_round_trip(spark, pages.where("page_id < 0"))
+    assert empty.count() == 0
+    with pytest.raises(ValueError, match="digest"):
+        warc.read_record(records[0].replace(b"share", b"spare"))
+
+
+# --- quality
+
+
+def labelled(rng, n):
+    word = lambda: "".join(rng.choice("abcdeiou") for _ in range(rng.randrange(2, 9)))
+    rows, labels = [], []
+    for i in range(n):
+        words = [word() for _ in range(rng.randrange(20, 200))]
+        bad = rng.random() < 0.2
+        kind = rng.randrange(4)
+        if not bad:
+            text = " ".join(w + (". " if rng.random() < 0.1 else "") for w in words).capitalize()
+        elif kind == 0:
+            text = " ".join(w.upper() + "!!" for w in words)
+        elif kind == 1:
+            text = " ".join(w for w in words for _ in range(8))
+        else:
+            text = " ".join(w + rng.choice([" |", "###"]) for w in words)
+        rows.append((i, text))
+        if rng.random() < 0.5:
+            labels.append((i, int(not bad)))
+    return rows, labels
+
+
+def test_quality_on_held_out_labels(spark):
+    rows, labels = labelled(random.Random(3), 2500)
+    rows += [(9000, None), (9001, ""), (None, "some text"), (9002, "long " * 200_000), rows[4]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"x": F.lit(1), "held_out": F.lit("y")})
+    known = spark.createDataFrame([*labels, (5, None), labels[0]], "doc_id long, quality int")
+    got = pu_quality.score_documents(docs, known).collect()
+    assert len(got) == len(rows)
+    right = []
+    truth = dict(labels)
+    for r in got:
+        assert r.held_out == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+        if r.held_out and r.doc_id in truth:
+            right.append(r.predicted == truth[r.doc_id])
+    assert len(right) > 150 and np.mean(right) > 0.97
+    kept = pu_quality.keep_good(docs, known)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.predicted)
+
+
+def test_held_out_labels_change_nothing(spark):
+    rows, labels = labelled(random.Random(6), 300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q) for i, q in labels]
+    scores = []
+    for known in (labels, flipped):
+        table = spark.createDataFrame(known, "doc_id long, quality int").coalesce(1)
+        scores.append([r.score for r in pu_quality.score_documents(docs, table).orderBy("doc_id").collect()])
+    assert scores[0] == pytest.approx(scores[1], abs=1e-9)
+
+
+def test_quality_without_labels_or_documents(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.score for r in pu_quality.score_documents(docs, none).collect()] == [0.5]
+    assert pu_quality.score_documents(docs.where("doc_id > 1"), none).count() == 0
+
+
+# --- URL rules
+
+RULES = (
+    url_rules.host_rule("net/", "block"),
+    url_rules.host_rule("example.net/en/", "allow"),
+    url_rules.host_rule("example.com/de/", "block"),
+    url_rules.host_rule("org/fr/", "allow"),
+    url_rules.host_rule("example.org/fr/a", "block"),
+)
+
+
+def brute_rule(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    best = None
+    for rule in RULES:
+        name, slash, start = rule.name.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith(slash + start) and (best is None or len(rule.name) > len(best.name)):
+            best = rule
+    words = re.findall("[a-z0-9]+", host)
+    verdict = best.verdict if best else "block" if set(words) & set(url_rules.HOST_WORDS) else "allow"
+    return host, path, best.name if best else None, verdict
+
+
+def test_url_rules(spark):
+    rng = random.Random(8)
+    hosts = ["example.net", "www.Example.NET", "xexample.net", "a.b.net", "net", "example.com", "m.example.com", "cheap-pills.example.org", "org", "x.org:80", "spam", "spammy.de", "ünet.net", ""]
+    paths = ["", "/", "/en/", "/en", "/EN/x", "/de/1", "/fr/a", "/fr/abc", "/fr/", "?q=/en/", "#/de/", "/en/?x", "//en/"]
+    urls = [f"{s}://{h}{p}" for s in ("http", "") for h in hosts for p in paths]
+    urls += [None, "", "no scheme", "http:/x", "a://b://c.net/", "http://a\n.net/x\ny"] + ["http://a.net/" + "x" * 100_000]
+    rng.shuffle(urls)
+    rows = [(i, u) for i, u in enumerate(urls)] + [(0, urls[0]), (None, urls[1])]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": F.lit(1), "rule": F.lit(2)})
+    got = Counter(map(tuple, url_rules.judge_urls(pages, RULES + url_rules.DEFAULT_RULES).collect()))
+    assert got == Counter((i, *brute_rule(u)) for i, u in rows)
+    assert url_rules.judge_urls(pages.where("page_id < 0"), RULES).count() == 0
+    with pytest.raises(ValueError, match="rules"):
+        url_rules.judge_urls(pages, RULES * 50_000)
+
+
+def test_rules_are_filed_under_their_rarest_token():
+    index = url_rules.index_rules(RULES, {"net": 9, "example": 5, "en": 7, "com": 4, "de": 4, "org": 2, "fr": 3})
+    assert {token: [r.name for r in filed] for token, filed in index.items()} == {
+        "net": ["net/"], "example": ["example.net/en/"], "com": ["example.com/de/"], "org": ["org/fr/", "example.org/fr/a"],
+    }
+
+
+# --- packing
+
+
+def test_words_encode_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    rng, whole = random.Random(1), Tokenizer.from_file(TOKENIZER)
+    letters = "aAbZé İẞΣςs'’t 're  \x1c\x85\x0b\n\t0१漢🙂‍ﬁKİ.!?-_क़ .,;:abc \""
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["a<|endoftext|>b c", "<|startoftext|>", "<|STARTOFTEXT|> x", "it's we 'll", ""]
+    encode = packing.WordEncoder(TOKENIZER, 1)
+    for text, ids in zip(texts, encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
+
+
+@pytest.mark.parametrize("most_open", [4096, 5])
+def test_packing(spark, most_open):
+    from tokenizers import Tokenizer
+
+    rng, whole = random.Random(2), Tokenizer.from_file(TOKENIZER)
+    texts = [" ".join(rng.choice(["pack", "window", "überall", "x,"]) for _ in range(rng.randrange(150))) for _ in range(300)]
+    texts += [None, "", "word " * 5000]
+    rows = list(enumerate(texts)) + [(None, "no id"), (5, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns({"ids": F.lit(1), "start": F.lit(2)})
+    pieces = packing.pack(docs, TOKENIZER, window=128, most_open=most_open).collect()
+    windows = defaultdict(list)
+    for p in pieces:
+        assert len(p.ids) > 0
+        windows[p.sequence_id].append((p.offset, len(p.ids) // 4))
+    fills = []
+    for spans in windows.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 128
+        fills.append(at)
+    assert sum(f < 128 for f in fills) <= docs.rdd.getNumPartitions()
+    want = Counter()
+    for i, text in rows:
+        ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        want[i, len(ids), ids.tobytes()] += 1
+    whole_docs = Counter()
+    by_doc = defaultdict(list)
+    for p in pieces:
+        if p.doc_id != 5:
+            by_doc[p.doc_id].append(p)
+    for i, parts in by_doc.items():
+        parts.sort(key=lambda p: p.start)
+        assert [p.start for p in parts] == list(np.cumsum([0] + [len(p.ids) // 4 for p in parts])[:-1])
+        whole_docs[i, parts[0].doc_tokens, b"".join(p.ids for p in parts)] += 1
+    assert whole_docs == Counter({k: v for k, v in want.items() if k[0] != 5})
+    assert sum(len(p.ids) for p in pieces if p.doc_id == 5) == 2 * 4 * next(n for i, n, _ in want if i == 5)
+    assert packing.pack(docs.where("doc_id < 0"), TOKENIZER).count() == 0
+
+
+def test_levels_minimise_squares():
+    packer = packing.LevelPacker(16)
+    rng = random.Random(3)
+    for _ in range(400):
+        size = rng.randrange(1, 16)
+        counts = packer.counts.copy()
+
+        def after(level, size=size, counts=counts):
+            new = counts.copy()
+            if level:
+                new[level] -= 1
+            if level + size < 16:
+                new[level + size] += 1
+            return (new[1:16] ** 2).sum()
+
+        allowed = [0] + [h for h in range(1, 17 - size) if counts[h]]
+        assert after(packer.best_level(size)) == min(map(after, allowed))
+        list(packer.add(packing.Piece(1, 0, bytes(4 * size), size)))
+        assert packer.counts.tolist() == [0] + [len(packer.at[h]) for h in range(1, 16)] + [0]
