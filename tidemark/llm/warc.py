@@ -171,7 +171,7 @@ def write_archives(
                 for row in batch.slice(start, 100).to_pylist():
                     if sink is None:
                         current = f"pages-{attempt}-{len(archives):04d}.warc.zst"
-                        sink, size, count = place.open_output_stream(f"{path}/{current}"), len(frame), 0
+                        sink, size, count = place.open_output_stream(f"{path}/{current}", compression=None), len(frame), 0
                         sink.write(frame)
                     record = write_record(row["page_id"], row["url"], row["payload"].encode(), row["refers_to"])
                     data = compressor.compress(record)
@@ -221,7 +221,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 rows, size = [], 0
-                with place.open_input_stream(f"{path}/{name}") as source:
+                with place.open_input_stream(f"{path}/{name}", compression=None) as source:
                     for record in frames(source):
                         headers, payload, length = read_record(record)
                         revisit = headers["WARC-Type"] == "revisit"
