@@ -21,6 +21,9 @@ MIN_TOKENS, CONSTANT = 4, 0.7
 
 VARIABLE = "<*>"
 
+#: Busy leaves, 8 bytes each, that are sent to all tasks rather than lines to leaves.
+MOST_BROADCAST = 1_000_000
+
 
 def line_key(line: Column) -> Column:
     return F.unhex(F.md5(line))
@@ -84,8 +87,10 @@ def recurring_lines(
     lines = line_table(named.where(F.col("doc_id").isNotNull()), depth, min_tokens)
     keys = stored(lines.select("doc_id", "leaf", F.unhex(F.md5("line")).alias("key")), "lines")
     leaves = keys.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    # Written, so that the planner knows whether the busy leaves are few enough to broadcast.
-    found = templates(lines, stored(leaves, "leaves"), min_docs, constant)
+    leaves = stored(leaves, "leaves")
+    if leaves.count() <= MOST_BROADCAST:  # at most 8 MB; beyond that the lines are shuffled
+        leaves = F.broadcast(leaves)
+    found = templates(lines, leaves, min_docs, constant)
     of_lines = spread_lookup(keys.select("doc_id", "key"), found, ["key"], by="doc_id", how="inner").distinct()
     of_lines = stored(of_lines, "line-templates")
     recurring = (
