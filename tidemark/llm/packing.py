@@ -83,7 +83,8 @@ class WordEncoder:
     def encode(self, parts: list[str]) -> None:
         """Words of letters go through the tokenizer as one text, others each by itself."""
         plain = [part for part in parts if part.isalpha()]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+        (found,) = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) == len(plain):
             data, begin = ids.tobytes(), 0
@@ -95,7 +96,7 @@ class WordEncoder:
         self.encode_each([part for part in parts if not part.isalpha()])
 
     def encode_each(self, parts: list[str]) -> None:
-        for part, found in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
             self.ids[part.encode()] = np.array(found.ids, "<u4").tobytes()
 
 
