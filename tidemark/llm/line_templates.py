@@ -56,21 +56,23 @@ def templates(lines: DataFrame, leaves: DataFrame, min_docs: int, constant: floa
     """``key`` of a line and the ``template`` it belongs to, for lines of busy leaves."""
     busy = lines.join(leaves, "leaf", "left_semi")
     distinct = stored(busy.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "template-lines")
-    fields = distinct.select("leaf", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    # The fields of a line carry its key, not the line.
+    keyed = distinct.select("leaf", line_key(F.col("line")).alias("key"), "line", "docs")
+    fields = keyed.select("leaf", "key", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
     constants = (
         fields.groupBy("leaf", "at", "token")
         .agg(F.sum("docs").alias("support"))
         .where((F.col("support") >= min_docs) & (F.col("token") != VARIABLE))
         .select("leaf", "at", "token", F.lit(True).alias("fixed"))
     )
-    known = spread_lookup(fields, constants, ["leaf", "at", "token"], by="line")
+    known = spread_lookup(fields.drop("docs"), constants, ["leaf", "at", "token"], by="key", ways=8)
     shown = F.when(F.col("fixed"), F.col("token")).otherwise(VARIABLE)
-    parts = known.groupBy("leaf", "line").agg(
+    parts = known.groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("at", shown.alias("token")))).alias("fields"),
         F.avg(F.coalesce(F.col("fixed"), F.lit(False)).cast("int")).alias("share"),
     )
     template = F.array_join(F.col("fields.token"), " ")
-    return parts.where(F.col("share") >= constant).select(F.unhex(F.md5("line")).alias("key"), template.alias("template"))
+    return parts.where(F.col("share") >= constant).select("key", template.alias("template"))
 
 
 def recurring_lines(
@@ -85,7 +87,7 @@ def recurring_lines(
     """``doc_id``, ``template``, ``key`` of the lines to drop."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = line_table(named.where(F.col("doc_id").isNotNull()), depth, min_tokens)
-    keys = stored(lines.select("doc_id", "leaf", F.unhex(F.md5("line")).alias("key")), "lines")
+    keys = stored(lines.select("doc_id", "leaf", line_key(F.col("line")).alias("key")), "lines")
     leaves = keys.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     leaves = stored(leaves, "leaves")
     if leaves.count() <= MOST_BROADCAST:  # at most 8 MB; beyond that the lines are shuffled
