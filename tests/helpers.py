@@ -83,16 +83,24 @@ def pairs(rows, within):
 
 
 def bursts(rows, horizon, min_count):
+    """A list per user: a success clears it, its timer gives it out if it is long enough."""
     out = []
+
+    def fire(user, current):
+        if len(current) >= min_count:
+            out.append((user, current[0], current[-1], len(current)))
+
     for user, log in by_user(rows).items():
         current = []
-        for _, state, ts, _ in [*log, (user, "end", None, None)]:
-            if current and (state != "fail" or ts > current[0] + horizon):
-                if len(current) >= min_count:
-                    out.append((user, current[0], current[-1], len(current)))
+        for _, state, ts, _ in log:
+            if current and ts > current[0] + horizon:
+                fire(user, current)
                 current = []
             if state == "fail":
                 current.append(ts)
+            else:
+                current = []
+        fire(user, current)
     return ordered(out)
 
 
@@ -119,9 +127,11 @@ def unpaid(rows, deadline, lookback=None):
     return ordered(out)
 
 
-def lifecycle(rows, deadline):
+def lifecycle(rows, deadline, wait=10**9):
     out = []
     for user, log in by_user(rows).items():
+        log = [r for r in log if r[1] in ("create", "pay")]
+        log = [r for r in log if r[2] < log[0][2] + wait]
         creates = [r[2] for r in log if r[1] == "create"]
         pays = [r[2] for r in log if r[1] == "pay"]
         if not creates and not pays:

@@ -75,7 +75,7 @@ def _stream_missing(df, keys, first, then, deadline, lookback, ts):
         raise ValueError("a streaming missing_follow_up needs a lookback")
     starts = df.where(first).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(ts).alias("first_ts"))
     paid = df.where(then).select(*keys, F.col(ts).alias("_paid"))
-    on = [F.col(f"_{k}") == F.col(k) for k in keys]
+    on = [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in keys]
     on.append(F.col("_paid") >= F.col("first_ts") - F.expr(f"interval {as_duration(lookback)}"))
     on.append(F.col("_paid") < F.col("first_ts") + F.expr(f"interval {as_duration(deadline)}"))
     joined = starts.join(paid, on, "left_outer").where(F.col("_paid").isNull())
@@ -97,11 +97,14 @@ def lifecycle_status(
     ``paid`` needs a ``then`` row before the first ``first`` row plus ``deadline`` (also
     one that comes earlier), ``timeout`` has none in time and ``no_create`` has no
     ``first`` row.  One aggregate with partial sums before the shuffle.
-    Gives ``keys, create_ts, pay_ts, status``.
+    Gives ``keys, create_ts, pay_ts, status``; ``pay_ts`` is NULL for ``timeout``.
 
-    A stream needs a ``wait``: so long after its first row a key without a ``first`` row
-    is given up as ``no_create`` and the key is forgotten.
+    With a ``wait`` only the rows less than that after the first row of a key count.  A
+    stream needs one: then it stops waiting for a ``first`` row, and keeps a mark of the
+    key so that rows that come later change nothing.
     """
+    if wait is not None and wait < deadline:
+        raise ValueError("wait must not be shorter than the deadline")
     if df.isStreaming:
         if wait is None:
             raise ValueError("a streaming lifecycle_status needs a wait")
@@ -112,6 +115,11 @@ def lifecycle_status(
         .groupBy(*keys)
         .agg(F.min(F.when(first, us)).alias("_create"), F.min(F.when(then, us)).alias("_pay"))
     )
+    if wait is not None:
+        end = F.least("_create", "_pay") + F.lit(to_us(wait))
+        per_key = per_key.withColumn("_end", end).select(
+            *keys, *[F.when(F.col(c) < F.col("_end"), F.col(c)).alias(c) for c in ("_create", "_pay")]
+        )
     in_time = F.col("_pay") < F.col("_create") + F.lit(to_us(deadline))
     status = (
         F.when(F.col("_create").isNull(), "no_create").when(in_time, "paid").otherwise("timeout")
@@ -120,6 +128,6 @@ def lifecycle_status(
     return per_key.select(
         *keys,
         from_epoch_us(F.col("_create"), kind).alias("create_ts"),
-        from_epoch_us(F.col("_pay"), kind).alias("pay_ts"),
+        from_epoch_us(F.when(status != "timeout", F.col("_pay")), kind).alias("pay_ts"),
         status.alias("status"),
     )

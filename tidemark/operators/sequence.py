@@ -131,7 +131,8 @@ def fail_burst(
     """Bursts of at least ``min_count`` fails: ``keys, first_ts, last_ts, cnt``.
 
     A burst is anchored at its first fail and takes the fails up to ``horizon`` after it
-    (inclusive); any other row ends it.  The next fail outside opens the next burst.
+    (inclusive).  Any other row up to there (inclusive) discards it, also one after its last
+    fail.  The next fail outside opens the next burst.
 
     A fail after another row, or after a gap longer than ``horizon``, certainly opens a
     burst; the fails up to the next such head form an island, and its first burst is a
@@ -148,12 +149,14 @@ def fail_burst(
         epoch_us(F.col(ts)).alias("_us"),
         F.coalesce(is_fail, F.lit(False)).alias("_fail"),
     )
+    rows = rows.withColumn("_other", F.when(~F.col("_fail"), F.col("_us")))
     sliced, split = slice_keys(rows, keys, rows_per_task)
     linked = with_previous(sliced, keys, ORDER, ["_us", "_fail"], split)
+    linked = with_next_value(linked, keys, ORDER, "_other", split, "_ends")
     gap = F.col("_us") - F.col("_prev._us")
     continues = F.coalesce(F.col("_prev._fail") & (gap <= F.lit(horizon_us)), F.lit(False))
     fails = linked.where("_fail").select(
-        *keys, SLICE, *ORDER, F.when(~continues, F.struct(*ORDER)).alias("_head")
+        *keys, SLICE, *ORDER, "_ends", F.when(~continues, F.struct(*ORDER)).alias("_head")
     )
 
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*ORDER)
@@ -179,6 +182,7 @@ def fail_burst(
         .agg(
             F.min("_us").alias("_from"),
             F.max("_us").alias("_to"),
+            F.min("_ends").alias("_ends"),
             F.count(F.lit(1)).alias("cnt"),
             F.max(edge).alias("_edge"),
         )
@@ -186,16 +190,17 @@ def fail_burst(
     )
     in_island = Window.partitionBy(*keys, "_island").orderBy("_from", "_own")
     numbered = parts.select(
-        *keys, "_from", "_to", "cnt", (F.row_number().over(in_island) == 1).alias("_new")
+        *keys, "_from", "_to", "_ends", "cnt", (F.row_number().over(in_island) == 1).alias("_new")
     )
     schema = StructType(
         [rows.schema[k] for k in keys]
-        + [StructField(name, LongType()) for name in ("_from", "_to", "cnt")]
+        + [StructField(name, LongType()) for name in ("_from", "_to", "_ends", "cnt")]
     )
     kind = df.schema[ts].dataType
+    cancelled = F.coalesce(F.col("_ends") <= F.col("_from") + F.lit(horizon_us), F.lit(False))
     return (
         numbered.mapInArrow(_burst_walker(keys, horizon_us), schema)
-        .where(F.col("cnt") >= min_count)
+        .where((F.col("cnt") >= min_count) & ~cancelled)
         .select(
             *keys,
             from_epoch_us(F.col("_from"), kind).alias("first_ts"),
@@ -208,9 +213,10 @@ def fail_burst(
 def _burst_walker(keys: list[str], horizon_us: int):
     """Join the sorted parts of islands into bursts; ``_new`` marks the first part of an island.
 
-    The open burst is the only thing kept between batches.
+    The open burst is the only thing kept between batches.  ``_ends``, the next row that is
+    no fail, is the same for all parts of an island.
     """
-    values = ["_from", "_to", "cnt"]
+    values = ["_from", "_to", "_ends", "cnt"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, burst = None, None
@@ -219,7 +225,7 @@ def _burst_walker(keys: list[str], horizon_us: int):
                 continue
             result = batch.select([*keys, *values])
             schema = result.schema
-            first, last, cnt = (batch.column(name).to_numpy() for name in values)
+            first, last, cnt = (batch.column(name).to_numpy() for name in ("_from", "_to", "cnt"))
             new = batch.column("_new").to_numpy(zero_copy_only=False)
             so_far = np.concatenate(([0], cnt.cumsum()))
             bounds = np.unique(np.concatenate(([0], np.flatnonzero(new), [batch.num_rows])))
@@ -239,7 +245,7 @@ def _burst_walker(keys: list[str], horizon_us: int):
                     if burst:
                         done.append(burst)
                     reach = at + int(first[at:end].searchsorted(first[at] + horizon_us, "right"))
-                    burst = {k: batch.column(k)[at].as_py() for k in keys}
+                    burst = {k: batch.column(k)[at].as_py() for k in [*keys, "_ends"]}
                     burst["_from"], burst["_to"] = int(first[at]), int(last[reach - 1])
                     burst["cnt"] = int(so_far[reach] - so_far[at])
                     at = reach

@@ -15,9 +15,6 @@ from tidemark.functions import as_duration, epoch_us, floor_us, from_epoch_us, t
 # Window ends per task group when the running count of a sliding window is split by time.
 ENDS_PER_CHUNK = 4096
 
-# Above this many overlapping windows a stream counts panes first.
-DIRECT_STREAM_RATIO = 12
-
 
 def with_event_time(df: DataFrame, ts: str, delay: timedelta = timedelta(0)) -> DataFrame:
     """Event time with a watermark ``delay`` behind the latest record (streams only)."""
@@ -31,13 +28,20 @@ def window_count(
     slide: timedelta | None = None,
     ts: str = "ts",
     out: str = "cnt",
+    panes: bool = False,
 ) -> DataFrame:
-    """Rows per key and window: ``keys, window_end, out``.  No keys gives a global count."""
+    """Rows per key and window: ``keys, window_end, out``.  No keys gives a global count.
+
+    A stream counts every row in all windows over it, in append or update mode.  With ``panes``
+    it first counts spans of one ``slide`` and then sums closed ones, which is cheaper where
+    many windows overlap but gives a window only once it is closed (append mode).  The rows of
+    append mode and of a batch are the same either way.
+    """
     slide = slide or size
     if slide == size:
         return _direct_count(df, keys, size, slide, ts, out)
     if df.isStreaming:
-        if size / slide > DIRECT_STREAM_RATIO and to_us(size) % to_us(slide) == 0:
+        if panes and to_us(size) % to_us(slide) == 0:
             return _stream_pane_count(df, keys, size, slide, ts, out)
         return _direct_count(df, keys, size, slide, ts, out)
     if to_us(size) % to_us(slide):

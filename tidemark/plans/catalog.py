@@ -226,7 +226,7 @@ def reconcile_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msg = F.when(F.col("kind") == "left_only", "receipt time out").otherwise("pay time out")
+    msg = F.when(F.col("kind") == "left_only", "receiptState time out").otherwise("pay time out")
     return (
         reconciled(spark, sf_dir).where(F.col("kind") != "matched").select("pay_id", msg.alias("msg"))
     )

@@ -81,14 +81,16 @@ def running_visitors(behavior: DataFrame) -> DataFrame:
 # --- marketing
 
 
-def channel_counts(market: DataFrame, excluded: str = "Uninstall") -> DataFrame:
-    """Events per behaviour and channel over the last hour, every ten seconds."""
+def channel_counts(market: DataFrame, excluded: str = "Uninstall", panes: bool = True) -> DataFrame:
+    """Events per behaviour and channel over the last hour, every ten seconds.
+
+    Here and below ``panes=False`` lets a stream run in update mode, at a higher cost."""
     kept = with_event_time(market, "ts").where(F.col("behavior") != excluded)
-    return op.window_count(kept, ["behavior", "channel"], HOUR, 10 * SECOND)
+    return op.window_count(kept, ["behavior", "channel"], HOUR, 10 * SECOND, panes=panes)
 
 
-def market_total(market: DataFrame) -> DataFrame:
-    return op.window_count(with_event_time(market, "ts"), [], HOUR, 10 * SECOND)
+def market_total(market: DataFrame, panes: bool = True) -> DataFrame:
+    return op.window_count(with_event_time(market, "ts"), [], HOUR, 10 * SECOND, panes=panes)
 
 
 def capped_ad_clicks(clicks: DataFrame, cap: int = 100) -> DataFrame:
@@ -96,10 +98,10 @@ def capped_ad_clicks(clicks: DataFrame, cap: int = 100) -> DataFrame:
     return op.click_cap(with_event_time(clicks, "ts"), ["user_id", "ad_id"], cap)
 
 
-def province_clicks(capped: DataFrame) -> DataFrame:
+def province_clicks(capped: DataFrame, panes: bool = True) -> DataFrame:
     """Passed clicks per province over the last hour, every five seconds."""
     passed = capped.where(F.col("kind") == "pass")
-    return op.window_count(passed, ["province"], HOUR, 5 * SECOND)
+    return op.window_count(passed, ["province"], HOUR, 5 * SECOND, panes=panes)
 
 
 def click_warnings(capped: DataFrame) -> DataFrame:
@@ -141,11 +143,11 @@ def paid_orders(orders: DataFrame) -> DataFrame:
     return op.followed_by(logs, ["order_id"], is_state("create"), is_state("pay"), 10 * MINUTE)
 
 
-def unpaid_orders(orders: DataFrame, lookback: timedelta | None = None) -> DataFrame:
-    """Orders without a payment three minutes after creation; a stream looks back one day."""
+def unpaid_orders(orders: DataFrame, lookback: timedelta | None = DAY) -> DataFrame:
+    """Orders without a payment from ``lookback`` before to three minutes after creation.
+
+    ``None`` looks back without limit, on a batch only."""
     logs = with_event_time(orders, "ts", MINUTE)
-    if logs.isStreaming:
-        lookback = lookback or DAY
     missing = op.missing_follow_up(
         logs, ["order_id"], is_state("create"), is_state("pay"), 3 * MINUTE, lookback
     )
@@ -171,5 +173,5 @@ def reconciled_payments(orders: DataFrame, receipts: DataFrame) -> DataFrame:
 
 
 def payment_warnings(reconciled: DataFrame) -> DataFrame:
-    msg = F.when(F.col("kind") == "left_only", "receipt time out").otherwise("pay time out")
+    msg = F.when(F.col("kind") == "left_only", "receiptState time out").otherwise("pay time out")
     return reconciled.where(F.col("kind") != "matched").select("pay_id", msg.alias("msg"))

@@ -157,6 +157,8 @@ ORACLE: dict[str, str] = {
         FROM events
       ), fails AS (
         SELECT user_id, run, ts FROM runs WHERE event_type = 'error'
+      ), ends AS (
+        SELECT user_id, run - 1 AS run, ts AS end_ts FROM runs WHERE event_type <> 'error'
       ), anchors AS (
         SELECT user_id, run, min(ts) AS anchor FROM fails GROUP BY user_id, run
         UNION ALL
@@ -171,6 +173,8 @@ ORACLE: dict[str, str] = {
       FROM anchors a JOIN fails f
         ON f.user_id = a.user_id AND f.run = a.run
        AND f.ts BETWEEN a.anchor AND a.anchor + INTERVAL 2 DAY
+      LEFT JOIN ends e ON e.user_id = a.user_id AND e.run = a.run
+      WHERE e.end_ts IS NULL OR e.end_ts > a.anchor + INTERVAL 2 DAY
       GROUP BY a.user_id, a.run, a.anchor
       HAVING count(*) >= 2
     """,
@@ -190,7 +194,8 @@ ORACLE: dict[str, str] = {
     "order_lifecycle": """
       WITH c AS (SELECT user_id, min(ts) AS create_ts FROM events WHERE event_type = 'signup' GROUP BY 1),
            p AS (SELECT user_id, min(ts) AS pay_ts FROM events WHERE event_type = 'purchase' GROUP BY 1)
-      SELECT coalesce(c.user_id, p.user_id) AS user_id, create_ts, pay_ts,
+      SELECT coalesce(c.user_id, p.user_id) AS user_id, create_ts,
+             CASE WHEN create_ts IS NULL OR pay_ts < create_ts + INTERVAL 1 DAY THEN pay_ts END AS pay_ts,
              CASE WHEN create_ts IS NULL THEN 'no_create'
                   WHEN pay_ts < create_ts + INTERVAL 1 DAY THEN 'paid'
                   ELSE 'timeout' END AS status
@@ -204,7 +209,7 @@ ORACLE: dict[str, str] = {
     "reconcile_warnings": f"""
       WITH {RECONCILED}
       SELECT coalesce(o_orderkey, l_orderkey) AS pay_id,
-             CASE WHEN l_orderkey IS NULL THEN 'receipt time out' ELSE 'pay time out' END AS msg
+             CASE WHEN l_orderkey IS NULL THEN 'receiptState time out' ELSE 'pay time out' END AS msg
       FROM both_sides WHERE o_orderkey IS NULL OR l_orderkey IS NULL
     """,
 }

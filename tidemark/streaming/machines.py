@@ -8,6 +8,7 @@ Times are microseconds.  Emitted dictionaries fill the columns of ``replay.OUTPU
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 
 
@@ -34,28 +35,26 @@ class Pairs:
 
 @dataclass(frozen=True)
 class Bursts:
-    """Fails (tag 1) within the horizon of the first one; any other row ends the burst."""
+    """Fails (tag 1) within the horizon of the first one; any other row there discards them."""
 
     horizon: int
     min_count: int
 
     def step(self, memory, us, tag, body):
         if not tag:
-            yield from self._close(memory)
+            memory.clear()
         elif memory:
             memory["to"] = us
             memory["n"] += 1
         else:
             memory.update({"from": us, "to": us, "n": 1})
+        return ()
 
     def advance(self, memory, now):
         if memory and now > memory["from"] + self.horizon:
-            yield from self._close(memory)
-
-    def _close(self, memory):
-        if memory and memory["n"] >= self.min_count:
-            yield {"_a": memory["from"], "_b": memory["to"], "_n": memory["n"]}
-        memory.clear()
+            if memory["n"] >= self.min_count:
+                yield {"_a": memory["from"], "_b": memory["to"], "_n": memory["n"]}
+            memory.clear()
 
     def due(self, memory):
         return memory["from"] + self.horizon + 1 if memory else None
@@ -63,23 +62,24 @@ class Bursts:
 
 @dataclass(frozen=True)
 class Follows:
-    """Every first row (tag 1) waits for the next second row (tag 2)."""
+    """Every first row (tag bit 1) waits for the next second row (tag bit 2)."""
 
     within: int
 
     def step(self, memory, us, tag, body):
-        if tag == 1:
-            memory.setdefault("open", []).append(us)
-        else:
+        if tag & 2:
             for start in memory.pop("open", ()):
                 yield {"_a": start, "_b": us, "_kind": "matched"}
+        if tag & 1:
+            memory.setdefault("open", []).append(us)
 
     def advance(self, memory, now):
-        waiting = memory.get("open", [])
-        while waiting and now >= waiting[0] + self.within:
-            yield {"_a": waiting.pop(0), "_kind": "timeout"}
-        if not waiting:
-            memory.clear()
+        waiting = memory.pop("open", [])
+        late = bisect_right(waiting, now - self.within)
+        for start in waiting[:late]:
+            yield {"_a": start, "_kind": "timeout"}
+        if waiting[late:]:
+            memory["open"] = waiting[late:]
 
     def due(self, memory):
         return memory["open"][0] + self.within if memory.get("open") else None
@@ -87,40 +87,47 @@ class Follows:
 
 @dataclass(frozen=True)
 class Lifecycle:
-    """One status per key; a key is forgotten ``wait`` after its first row."""
+    """One status per key, of the rows less than ``wait`` after its first one.
+
+    Tag bit 1 is the first kind of row, bit 2 the second.  Of a key that is over only a mark
+    stays, so that a later row gives no second status.
+    """
 
     deadline: int
     wait: int
 
     def step(self, memory, us, tag, body):
+        if "over" in memory:
+            return
         memory.setdefault("since", us)
-        memory.setdefault("create" if tag == 1 else "pay", us)
+        if tag & 1:
+            memory.setdefault("create", us)
+        if tag & 2:
+            memory.setdefault("pay", us)
         create, pay = memory.get("create"), memory.get("pay")
         if create is not None and pay is not None and pay < create + self.deadline:
             yield from self._status(memory, "paid")
 
     def advance(self, memory, now):
-        if not memory:
+        if not memory or "over" in memory:
             return
-        if "create" in memory and now >= memory["create"] + self.deadline:
-            yield from self._status(memory, "timeout")
         if now >= memory["since"] + self.wait:
-            if "create" not in memory:
-                yield from self._status(memory, "no_create")
-            memory.clear()
+            yield from self._status(memory, "timeout" if "create" in memory else "no_create")
+        elif "create" in memory and now >= memory["create"] + self.deadline:
+            yield from self._status(memory, "timeout")
 
     def _status(self, memory, status):
-        if "done" not in memory:
-            memory["done"] = True
-            yield {"_a": memory.get("create"), "_b": memory.get("pay"), "_kind": status}
+        pay = None if status == "timeout" else memory.get("pay")
+        out = {"_a": memory.get("create"), "_b": pay, "_kind": status}
+        memory.clear()
+        memory["over"] = True
+        yield out
 
     def due(self, memory):
-        if not memory:
+        if not memory or "over" in memory:
             return None
         forget = memory["since"] + self.wait
-        if "create" in memory and "done" not in memory:
-            return min(forget, memory["create"] + self.deadline)
-        return forget
+        return min(forget, memory["create"] + self.deadline) if "create" in memory else forget
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,14 @@ from tidemark.functions import from_epoch_us, to_us
 from tidemark.streaming import machines
 from tidemark.streaming.replay import replay
 
-JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    # What can't be read back must stop the query, not turn NULL.
+    "mode": "FAILFAST",
+}
+
+WRITE_TIMES = {k: v for k, v in JSON_TIMES.items() if k != "mode"}
 
 
 def _flag(condition, value):
@@ -43,7 +50,7 @@ def fail_burst(df, keys, is_fail, horizon, min_count, ts, seq):
 
 def followed_by(df, keys, first, then, within, ts, seq):
     rows = df.where(first | then)
-    tag = F.when(first, 1).otherwise(2)
+    tag = _flag(first, 1) + _flag(then, 2)
     found = replay(rows, keys, machines.Follows(to_us(within)), ts, seq, tag)
     return found.select(
         *keys,
@@ -55,7 +62,7 @@ def followed_by(df, keys, first, then, within, ts, seq):
 
 def lifecycle_status(df, keys, first, then, deadline, wait, ts, seq):
     rows = df.where(first | then)
-    tag = F.when(first, 1).otherwise(2)
+    tag = _flag(first, 1) + _flag(then, 2)
     machine = machines.Lifecycle(to_us(deadline), to_us(wait))
     found = replay(rows, keys, machine, ts, seq, tag)
     return found.select(
@@ -69,7 +76,7 @@ def lifecycle_status(df, keys, first, then, deadline, wait, ts, seq):
 def click_cap(df, keys, passes, period, ts, seq):
     """The rows keep their event time, so windows can follow."""
     others = [c for c in df.columns if c not in (*keys, ts)]
-    body = F.to_json(F.struct(*others), JSON_TIMES)
+    body = F.to_json(F.struct(*others), WRITE_TIMES)
     machine = machines.Cap(passes, to_us(period))
     found = replay(df, keys, machine, ts, seq, F.lit(0), body, event_time="_ts")
     schema = df.select(*others).schema
@@ -84,12 +91,14 @@ def click_cap(df, keys, passes, period, ts, seq):
 
 def reconcile(left, right, key, tolerance, ts, seq):
     def side(df, tag):
-        body = F.to_json(F.struct(*df.columns), JSON_TIMES)
-        return df.select(key, ts, seq, F.lit(tag).alias("_side"), body.alias("_text"))
+        body = F.to_json(F.struct(*df.columns), WRITE_TIMES)
+        # A NULL key matches nothing: such rows of the two sides never meet.
+        apart = F.when(F.col(key).isNull(), tag).alias("_apart")
+        return df.select(key, apart, ts, seq, F.lit(tag).alias("_side"), body.alias("_text"))
 
     both = side(left, 0).unionByName(side(right, 1))
     machine = machines.Reconcile(to_us(tolerance))
-    found = replay(both, [key], machine, ts, seq, F.col("_side"), F.col("_text"))
+    found = replay(both, [key, "_apart"], machine, ts, seq, F.col("_side"), F.col("_text"))
     return found.select(
         key,
         F.col("_kind").alias("kind"),

@@ -9,11 +9,11 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-WAITING = "us bigint, seq bigint, tag int, body string"
+WAITING = "us bigint, seq {seq}, tag int, body string"
 MEMORY = "memory string"
 OUTPUT = "_ts timestamp, _a bigint, _b bigint, _n bigint, _kind string, _left string, _right string"
 COLUMNS = [part.split()[0] for part in OUTPUT.split(", ")]
@@ -22,31 +22,32 @@ COLUMNS = [part.split()[0] for part in OUTPUT.split(", ")]
 class OrderedReplay(StatefulProcessor):
     """Feeds the rows of a key to a machine in ``(time, seq)`` order.
 
-    Rows wait in list state until the watermark has passed them, so rows that arrive out
+    Rows wait in list state until the watermark has reached them, so rows that arrive out
     of order are put right and a row later than the watermark, which Spark drops, could
     not have changed anything.  One event-time timer per key wakes it up for the next
     waiting row or the next deadline.
     """
 
-    def __init__(self, machine, keys: list[str]):
+    def __init__(self, machine, keys: list[str], seq_type: str = "bigint"):
         self.machine = machine
         self.keys = keys
+        self.seq_type = seq_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
+        self.waiting = handle.getListState("waiting", WAITING.format(seq=self.seq_type))
         self.memory = handle.getValueState("memory", MEMORY)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         arrived = [(r["_us"], r["_seq"], r["_tag"], r["_body"]) for r in rows]
         self.waiting.appendList(arrived)
-        self._wake(min(us for us, *_ in arrived) + 1)
+        self._wake(min(us for us, *_ in arrived))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         held = sorted(self.waiting.get(), key=self._order) if self.waiting.exists() else []
-        ready = [row for row in held if row[0] < now]
+        ready = [row for row in held if row[0] <= now]
         kept = held[len(ready) :]
         stored = self.memory.get()
         memory = json.loads(stored[0]) if stored else {}
@@ -65,7 +66,7 @@ class OrderedReplay(StatefulProcessor):
             self.memory.update((json.dumps(memory),))
         elif stored:
             self.memory.clear()
-        wake = [us for us in (kept[0][0] + 1 if kept else None, self.machine.due(memory)) if us]
+        wake = [us for us in (kept[0][0] if kept else None, self.machine.due(memory)) if us]
         if wake:
             self._wake(min(wake))
         for values in out:
@@ -100,15 +101,17 @@ def replay(
 ) -> DataFrame:
     """The machine's output for every key of a watermarked stream, with the columns of ``OUTPUT``."""
     text = F.lit(None).cast("string") if body is None else body
+    # Positions in files are text; everything else orders as a number.
+    seq_type = "string" if rows.schema[seq].dataType == StringType() else "bigint"
     fed = rows.select(
         *keys,
         F.col(ts),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
-        F.col(seq).cast("bigint").alias("_seq"),
+        F.col(seq).cast(seq_type).alias("_seq"),
         tag.cast("int").alias("_tag"),
         text.alias("_body"),
     )
     schema = StructType([rows.schema[k] for k in keys] + StructType.fromDDL(OUTPUT).fields)
     return fed.groupBy(*keys).transformWithState(
-        OrderedReplay(machine, keys), schema, "append", "EventTime", eventTimeColumnName=event_time
+        OrderedReplay(machine, keys, seq_type), schema, "append", "EventTime", eventTimeColumnName=event_time
     )
