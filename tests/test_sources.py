@@ -1,7 +1,13 @@
+import os
+from datetime import timedelta
+
 import pytest
 from helpers import rows_of
+from pyspark.sql import functions as F
+from streams import drained
 
 from tidemark import functions as times
+from tidemark import operators as op
 from tidemark.sources import (
     AD_CLICK,
     BEHAVIOR,
@@ -59,6 +65,48 @@ def test_malformed_lines_are_kept_apart(spark, log):
     assert sorted(r.line for r in rejected(parsed).collect()) == sorted(bad)
 
 
+@pytest.mark.parametrize("streaming", [False, True])
+def test_directories_keep_the_order_of_paths_and_lines(spark, tmp_path, streaming):
+    (tmp_path / "a.log").write_text(f"0,ip,fail,{BASE}")
+    (tmp_path / "b.log").write_text("\n".join(f"{i},ip,fail,{BASE}" for i in range(1, 51)))
+    (tmp_path / "c.log").write_text(f"51,ip,fail,{BASE}\n52,ip,fail,{BASE}")
+    df = read_events(spark, str(tmp_path), LOGIN, streaming, seq="seq")
+    if streaming:
+        query = df.writeStream.format("memory").queryName("placed").trigger(availableNow=True).start()
+        query.awaitTermination(60)
+        df = spark.table("placed")
+    assert [r.user_id for r in df.orderBy("seq").collect()] == list(range(53))
+
+
+def test_from_a_directory_to_bursts(spark, tmp_path):
+    """The reader's stream goes straight into a sequence operator."""
+    for n, times in enumerate(([0, 1, 2], [5, 5, 90], [200])):
+        lines = [f"7,ip,{'success' if t == 90 else 'fail'},{BASE + t}" for t in times]
+        (tmp_path / f"{n}.log").write_text("\n".join(lines))
+        os.utime(tmp_path / f"{n}.log", (BASE + n, BASE + n))
+    found = []
+    for streaming in (False, True):
+        logins = op.with_event_time(read_events(spark, str(tmp_path), LOGIN, streaming, seq="seq"), "ts")
+        bursts = op.fail_burst(logins, ["user_id"], F.col("state") == "fail", timedelta(seconds=2))
+        found.append(drained(spark, bursts) if streaming else rows_of(bursts))
+    assert found[0] == found[1] == [(7, 0, 2, 3), (7, 5, 5, 2)]
+
+
+@pytest.mark.parametrize("fmt,line", [
+    (ORDER, "1,pay,p,{}"), (MARKET, "1,AppStore,{},Click"), (KEY_TIME, "a {}"), (LOGIN, "1,ip,fail,{}"),
+    (RECEIPT, "x1,wechat,{}"), (AD_CLICK, "1,2,beijing,beijing,{}"), (BEHAVIOR, "1,2,3,pv,{}"),
+])
+def test_times_out_of_range_are_rejects(spark, log, fmt, line):
+    times = ["1558430842000000000", str(2**63 - 1), str(-(2**63)), "9" * 30, "", "-", "1e3x"]
+    parsed = read_parsed(spark, log(line.format(BASE), *map(line.format, times)), fmt)
+    assert accepted(parsed).count() == 1
+    assert sorted(r.line for r in rejected(parsed).collect()) == sorted(map(line.format, times))
+
+
+def test_times_before_the_epoch(spark, log):
+    assert rows_of(read_events(spark, log("a -1", "b 0"), KEY_TIME)) == [("a", -1 - BASE), ("b", -BASE)]
+
+
 def test_file_order_is_numbered(spark, log):
     df = read_events(spark, log(*[f"{i},ip,fail,{BASE}" for i in range(5)]), LOGIN, seq="seq")
     assert [r.user_id for r in df.orderBy("seq").collect()] == list(range(5))

@@ -7,8 +7,10 @@ into the two outputs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,37 @@ ACCESS_TIME_PATTERN = "dd/MM/yyyy:HH:mm:ss"
 ACCESS_IP, ACCESS_TIME, ACCESS_URL = 0, 3, 6
 
 
-def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Lines of a file or directory as column ``value``."""
-    return (spark.readStream if streaming else spark.read).text(path)
+# Times from year 1 to year 9999, in seconds; others are no times of a log.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def read_lines(
+    spark: SparkSession, path: str, streaming: bool = False, numbered: bool = False
+) -> DataFrame:
+    """Lines of a file or directory as column ``value``.
+
+    ``numbered`` adds ``_place``, a text that orders lines by the path of their file and their
+    place in it, the same way for a batch and a stream.
+    """
+    lines = (spark.readStream if streaming else spark.read).text(path)
+    if not numbered:
+        return lines
+    placed = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # Within a block of a file the lines are read in order by one task.
+    if streaming:
+        counted = placed.mapInArrow(_count_lines, "value string, file_path string, file_block_start long, n long")
+    else:
+        counted = placed.withColumn("n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    digits = [F.lpad(F.col(c).cast("string"), 20, "0") for c in ("file_block_start", "n")]
+    return counted.select("value", F.concat_ws(":", "file_path", *digits).alias("_place"))
+
+
+def _count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = 0
+    for batch in batches:
+        numbers = pa.array(range(seen, seen + batch.num_rows), pa.int64())
+        seen += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, numbers], [*batch.schema.names, "n"])
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -35,8 +65,9 @@ def _records(lines: DataFrame, sep: str, fields: list[Column], required: list[st
     The fields come out of ``inline``: a filter on them then stays above it, where on a
     plain projection it would be pushed below and split and parse every line again.
     """
-    split = lines.select(F.col("value").alias("_line"), F.split("value", sep).alias("_parts"))
-    records = split.select("_line", F.inline(F.array(F.struct(*fields))))
+    place = [c for c in lines.columns if c == "_place"]
+    split = lines.select(F.col("value").alias("_line"), *place, F.split("value", sep).alias("_parts"))
+    records = split.select("_line", *place, F.inline(F.array(F.struct(*fields))))
     return records.withColumn("_rejected", _any([F.col(name).isNull() for name in required]))
 
 
@@ -49,7 +80,9 @@ def parse_lines(lines: DataFrame, fmt: RecordFormat) -> DataFrame:
         if kind != "string":
             value = value.try_cast(kind)
         if name == "ts":
-            value = F.timestamp_seconds(value) if fmt.unit == "seconds" else F.timestamp_millis(value)
+            unit = 1 if fmt.unit == "seconds" else 1000
+            value = F.when(value.between(FIRST_SECOND * unit, LAST_SECOND * unit + unit - 1), value)
+            value = F.timestamp_seconds(value) if unit == 1 else F.timestamp_millis(value)
         fields.append(value.alias(name))
     required = [name for name, _ in fmt.fields if name not in fmt.optional]
     return _records(lines, fmt.sep, fields, required)
@@ -75,9 +108,9 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 
 def read_parsed(
-    spark: SparkSession, path: str, fmt: RecordFormat, streaming: bool = False
+    spark: SparkSession, path: str, fmt: RecordFormat, streaming: bool = False, numbered: bool = False
 ) -> DataFrame:
-    return parse_lines(read_lines(spark, path, streaming), fmt)
+    return parse_lines(read_lines(spark, path, streaming, numbered), fmt)
 
 
 def read_events(
@@ -89,11 +122,12 @@ def read_events(
 ) -> DataFrame:
     """Well-formed records of ``fmt``.
 
-    ``seq`` names an extra column that numbers the records of a batch read in file
-    order; the sequence operators use it to order records of equal time.
+    ``seq`` names an extra column with the place of the record: by the path of its file, then
+    by its place in the file.  The sequence operators use it to order records of equal time, of
+    a batch and of a stream alike.
     """
-    events = accepted(read_parsed(spark, path, fmt, streaming))
-    return events.withColumn(seq, F.monotonically_increasing_id()) if seq else events
+    events = accepted(read_parsed(spark, path, fmt, streaming, seq is not None))
+    return events.withColumnRenamed("_place", seq) if seq else events
 
 
 def read_access_log(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
