@@ -1,6 +1,8 @@
 import tempfile
 from datetime import timedelta
 
+import pytest
+
 from helpers import frame, random_log, rows_of, sliding_counts
 from streams import as_stream
 from pyspark.sql import functions as F
@@ -61,3 +63,9 @@ def test_top_n_of_a_stream(spark, tmp_path):
 def test_print(spark, capfd):
     assert print_rows(frame(spark, [("a", "x", 1, 1)], LOG)) is None
     assert "|a" in capfd.readouterr().out
+
+
+def test_a_kind_without_a_path_is_an_error(spark, tmp_path):
+    capped = op.click_cap(frame(spark, random_log(1), LOG), ["user"], 4)
+    with pytest.raises(Exception, match="no path for the kind warn"):
+        write_split(capped, "kind", outputs(tmp_path, ["pass"]))

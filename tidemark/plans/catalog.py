@@ -9,13 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import operators as op
 from tidemark.session import prepare
-from tidemark.sources import accepted, parse_access_log
+from tidemark.sources import (
+    AD_CLICK,
+    BEHAVIOR,
+    KEY_TIME,
+    LOGIN,
+    MARKET,
+    ORDER,
+    RECEIPT,
+    RecordFormat,
+    accepted,
+    parse_access_log,
+    parse_lines,
+    rejected,
+)
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
 
@@ -76,6 +90,70 @@ def hot_pages_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.top_n(op.window_count(pages, ["url"], 6 * HOUR, HOUR), 5, "url")
 
 
+# --- the delimited logs
+
+
+def log_lines(spark: SparkSession, sf_dir: str, fmt: RecordFormat) -> DataFrame:
+    """Every event written as a line of ``fmt``; of some the time is no time, far too large or
+    missing."""
+    k, kind, user = F.col("k"), F.col("event_type"), F.col("user_id")
+    unit = 1_000_000 if fmt.unit == "seconds" else 1000
+    time = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / unit).cast("string")
+    broken = F.col("seq") % 50
+    time = (
+        F.when(broken == 7, "soon")
+        .when(broken == 13, F.concat(time, F.lit("000000000000")))
+        .when(broken == 21, "")
+        .otherwise(time)
+    )
+    paid = F.when(k % 3 > 0, F.concat(F.lit("p"), k)).otherwise("")
+    parts = {
+        BEHAVIOR: [user, k, k % 7, kind, time],
+        AD_CLICK: [user, k, F.concat(F.lit("province"), k % 5), F.concat(F.lit("city"), k % 9), time],
+        LOGIN: [user, F.concat(F.lit("10.0.0."), k), kind, time],
+        ORDER: [user, kind, paid, time],
+        RECEIPT: [F.concat(F.lit("p"), k), kind, time],
+        MARKET: [user, F.concat(F.lit("channel"), k % CHANNELS), time, kind],
+        KEY_TIME: [kind, time],
+    }
+    return events(spark, sf_dir).select(F.concat_ws(fmt.sep, *parts[fmt]).alias("value"))
+
+
+FORMATS = (BEHAVIOR, AD_CLICK, LOGIN, ORDER, RECEIPT, MARKET, KEY_TIME)
+
+
+def parsed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted records and rejects of every format, with the times of the accepted."""
+    found = []
+    for fmt in FORMATS:
+        parsed = parse_lines(log_lines(spark, sf_dir, fmt), fmt)
+        good = F.when(~F.col("_rejected"), F.col("ts").cast("timestamp_ntz"))
+        found.append(
+            parsed.agg(
+                F.count_if(~F.col("_rejected")).alias("accepted"),
+                F.count_if("_rejected").alias("rejected"),
+                F.min(good).alias("first_ts"),
+                F.max(good).alias("last_ts"),
+            ).select(F.lit(fmt.name).alias("format"), "*")
+        )
+    return reduce(DataFrame.unionAll, found)
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = [
+        rejected(parse_lines(log_lines(spark, sf_dir, fmt), fmt)).select(F.lit(fmt.name).alias("format"), "line")
+        for fmt in FORMATS
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+def paid_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order records with a payment id, as read from their lines."""
+    orders = accepted(parse_lines(log_lines(spark, sf_dir, ORDER), ORDER))
+    paid = orders.where(F.col("pay_id").isNotNull())
+    return paid.select("order_id", "state", "pay_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.window_count(views(spark, sf_dir), [], HOUR, out="pv")
 
@@ -106,12 +184,12 @@ def approx_unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def approx_unique_visitors_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the estimate of each window is within three deviations of the exact count."""
-    exact = op.window_distinct(views(spark, sf_dir), "user_id", DAY, out="exact")
-    estimate = op.window_approx_distinct(views(spark, sf_dir), "user_id", DAY, rsd=0.05)
-    within = F.abs(F.col("uv") - F.col("exact")) <= F.greatest(
-        F.lit(1.0), 3 * 0.05 * F.col("exact")
-    )
-    return exact.join(estimate, "window_end").select("window_end", "exact", within.alias("in_bound"))
+    window = F.window("ts", "1 day")
+    counts = views(spark, sf_dir).groupBy(window.alias("w")).agg(
+        F.countDistinct("user_id").alias("exact"), F.approx_count_distinct("user_id", 0.05).alias("uv")
+    )
+    within = F.abs(F.col("uv") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * 0.05 * F.col("exact"))
+    return counts.select(F.col("w.end").alias("window_end"), "exact", within.alias("in_bound"))
 
 
 def running_unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +310,22 @@ def reconcile_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reconcile_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments against the receipts of the same order: many rows of a key on both sides."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    odd = F.col("l_linenumber") % 2 == 1
+    sent = items.where(odd).select(
+        F.col("l_orderkey").alias("pay_id"), F.col("l_shipdate").alias("ts"), F.col("l_linenumber").alias("seq")
+    )
+    got = items.where(~odd).select(
+        F.col("l_orderkey").alias("pay_id"), F.col("l_shipdate").alias("ts"), F.col("l_linenumber").alias("seq")
+    )
+    pairs = op.reconcile(sent, got, "pay_id", 20 * DAY)
+    return pairs.select(
+        "pay_id", "kind", F.col("left.seq").alias("sent"), F.col("right.seq").alias("received")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -239,6 +333,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topn_report,
         key_sliding_count,
         hot_pages_topn,
+        parsed_logs,
+        rejected_lines,
+        paid_order_log,
         page_views,
         channel_counts,
         total_counts,
@@ -258,5 +355,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         order_lifecycle,
         reconcile_matched,
         reconcile_warnings,
+        reconcile_shipments,
     )
 }

@@ -37,6 +37,72 @@ def ranked(counts: str, key: str, n: int) -> str:
     """
 
 
+def log_lines(*parts: str, sep: str = ",") -> str:
+    return f" || '{sep}' || ".join(f"({part})" for part in parts)
+
+
+# Of every fifty events one has a word for its time, one a time far too large and one none.
+def log_time(time: str) -> str:
+    return f"""CASE WHEN seq % 50 = 7 THEN 'soon' WHEN seq % 50 = 13 THEN {time} || '000000000000'
+                    WHEN seq % 50 = 21 THEN '' ELSE {time}::VARCHAR END"""
+
+
+SECONDS, MILLIS = log_time("(epoch_us(ts) // 1000000)"), log_time("(epoch_us(ts) // 1000)")
+PAY = "CASE WHEN k % 3 > 0 THEN 'p' || k ELSE '' END"
+
+LOG_LINES = {
+    "behavior": log_lines("user_id", "k", "k % 7", "event_type", SECONDS),
+    "ad_click": log_lines("user_id", "k", "'province' || k % 5", "'city' || k % 9", SECONDS),
+    "login": log_lines("user_id", "'10.0.0.' || k", "event_type", SECONDS),
+    "order": log_lines("user_id", "event_type", PAY, SECONDS),
+    "receipt": log_lines("'p' || k", "event_type", SECONDS),
+    "market": log_lines("user_id", "'channel' || k % 6", MILLIS, "event_type"),
+    "key_time": log_lines("event_type", SECONDS, sep=" "),
+}
+
+PARSED_LOGS = f"WITH {EVENTS}" + " UNION ALL ".join(
+    f"""
+      SELECT '{name}' AS format, count(*) FILTER (seq % 50 NOT IN (7, 13, 21)) AS accepted,
+             count(*) FILTER (seq % 50 IN (7, 13, 21)) AS rejected,
+             date_trunc('{"millisecond" if name == "market" else "second"}',
+                        min(ts) FILTER (seq % 50 NOT IN (7, 13, 21))) AS first_ts,
+             date_trunc('{"millisecond" if name == "market" else "second"}',
+                        max(ts) FILTER (seq % 50 NOT IN (7, 13, 21))) AS last_ts
+      FROM events_k
+    """
+    for name in LOG_LINES
+)
+
+REJECTED_LINES = f"WITH {EVENTS}" + " UNION ALL ".join(
+    f"SELECT '{name}' AS format, {line} AS line FROM events_k WHERE seq % 50 IN (7, 13, 21)"
+    for name, line in LOG_LINES.items()
+)
+
+PAID_ORDER_LOG = f"""
+  WITH {EVENTS}
+  SELECT user_id AS order_id, event_type AS state, 'p' || k AS pay_id, date_trunc('second', ts) AS ts
+  FROM events_k WHERE k % 3 > 0 AND seq % 50 NOT IN (7, 13, 21)
+"""
+
+# Rows that follow each other closely and change sides form a chain, and pair up along it.
+RECONCILE_SHIPMENTS = """
+  WITH items AS (
+    SELECT l_orderkey AS pay_id, l_shipdate AS ts, l_linenumber AS seq, 1 - l_linenumber % 2 AS side FROM lineitem
+  ), steps AS (
+    SELECT *, row_number() OVER log AS n,
+           CASE WHEN side <> lag(side) OVER log AND ts - lag(ts) OVER log <= INTERVAL 20 DAY THEN 0 ELSE 1 END AS opens
+    FROM items WINDOW log AS (PARTITION BY pay_id ORDER BY ts, side, seq)
+  ), chains AS (
+    SELECT *, sum(opens) OVER (PARTITION BY pay_id ORDER BY n) AS chain FROM steps
+  ), pairs AS (
+    SELECT *, (row_number() OVER (PARTITION BY pay_id, chain ORDER BY n) - 1) // 2 AS pair FROM chains
+  )
+  SELECT pay_id,
+         CASE WHEN count(*) = 2 THEN 'matched' WHEN min(side) = 0 THEN 'left_only' ELSE 'right_only' END AS kind,
+         min(seq) FILTER (side = 0) AS sent, min(seq) FILTER (side = 1) AS received
+  FROM pairs GROUP BY pay_id, chain, pair
+"""
+
 HOT_ITEMS = ranked(
     sliding("(SELECT k AS item_id, ts FROM events_k WHERE event_type = 'view')", "item_id", 6, 1),
     "item_id",
@@ -127,7 +193,12 @@ ORACLE: dict[str, str] = {
         1,
     ),
     "total_counts": sliding("events", "", 6, 1),
+    "parsed_logs": PARSED_LOGS,
+    "rejected_lines": REJECTED_LINES,
+    "paid_order_log": PAID_ORDER_LOG,
+    "reconcile_shipments": RECONCILE_SHIPMENTS,
     "unique_visitors": DAILY_UV.format(out="uv"),
+    # The bound is wide enough for every window to be within it.
     "approx_unique_visitors_error": f"""
       SELECT window_end, exact, true AS in_bound FROM ({DAILY_UV.format(out="exact")})
     """,

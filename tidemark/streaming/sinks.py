@@ -30,18 +30,23 @@ def write_split(
 ) -> DataStreamWriter | None:
     """Write the rows of every kind to its own place from one evaluation of ``df``.
 
-    A stream writes a directory per micro-batch and replaces it when the batch is
+    All rows are first written once, apart by kind, next to the first of the ``paths``; every
+    output is then copied from its part.  A kind without a path is an error, so no row is lost
+    silently.  A stream writes a directory per micro-batch and replaces it when the batch is
     repeated after a failure, so every row is there once.
     """
+    staging = min(paths.values()).rstrip("/") + "-by-kind"
+    known = F.coalesce(F.col(kind_col).isin(list(paths)), F.lit(False))
+    unknown = F.concat(F.lit("no path for the kind "), F.coalesce(F.col(kind_col), F.lit("NULL")))
+    checked = F.when(known, F.col(kind_col)).otherwise(F.raise_error(unknown))
 
     def write(batch: DataFrame, suffix: str) -> None:
-        batch = batch.persist()
-        try:
-            for kind, path in paths.items():
-                rows = batch.where(F.col(kind_col) == kind).drop(kind_col)
-                rows.write.mode("overwrite").format(fmt).save(path + suffix)
-        finally:
-            batch.unpersist()
+        marked = batch.withColumn("_kind", checked)
+        marked.write.mode("overwrite").partitionBy("_kind").format(fmt).save(staging + suffix)
+        parts = batch.sparkSession.read.schema(marked.schema).format(fmt).load(staging + suffix)
+        for kind, path in paths.items():
+            rows = parts.where(F.col("_kind") == kind).drop("_kind", kind_col)
+            rows.write.mode("overwrite").format(fmt).save(path + suffix)
 
     if df.isStreaming:
         return write_batches(df, lambda batch, n: write(batch, f"/batch={n}"))
