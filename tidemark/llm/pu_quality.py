@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import stored
 
 #: Newton steps, weight of the ridge, and length of a step that undoes a negative risk.
-STEPS, RIDGE, BACK_STEP = 12, 1e-3, 0.5
+STEPS, RIDGE, BACK_STEP = 12, 0.03, 0.5
 
 #: A document is good from this score on.
 THRESHOLD = 0.3
