@@ -131,7 +131,7 @@ def test_similar_documents_without_central_sets(spark, monkeypatch):
             rows.append((len(rows), " ".join(words), "a"))
             if k % 8 == 0:
                 words = words[rng.randrange(3) :]
-    monkeypatch.setattr(jaccard, "ASKED", 1)
+    monkeypatch.setattr(jaccard, "ASKED", (1,))
     monkeypatch.setattr(jaccard, "BLOCK", 8)
     got = jaccard.similar_documents(table(spark, rows)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)

@@ -2,10 +2,10 @@
 
 Every set is ordered from its rarest shingle up, so linked sets share one of their first
 shingles, and a set whose first shingles stand nowhere else is done.  Index lists of the others
-are walked in two ways.  First each set asks only the most central sets of its lists, and what
-links to a set is taken over from it: documents of one component need no further comparison.
-Then lists that still hold several components are compared block by block; blocks whose sizes
-or positions rule a link out are skipped.
+are walked in two ways.  First, for a few rounds, each set asks only leading sets of its lists,
+and what links to a set is taken over from it: documents of one component need no further
+comparison.  Then lists that still hold several components are compared block by block; blocks
+whose sizes or positions rule a link out are skipped.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ BATCH_SHINGLES, BUCKET_BYTES = 1 << 21, 24 << 20
 COMMON = 16
 COMMON_COUNT = np.uint32(2**32 - 1)
 
-#: Central sets that a set asks in the first round, and sets of a list block.
-ASKED, BLOCK = 2, 1024
+#: Leaders that a set asks in each round, and sets of a list block.
+ASKED, BLOCK = (2, 12, 12), 1024
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -227,13 +227,42 @@ def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets link, by counting their common shingles."""
+    """The rows of ``pairs`` whose sets ``a`` and ``b`` link, by counting their common shingles."""
     of = sets.select("sid", "size", "shingles")
-    left = pairs.join(of.withColumnsRenamed({"sid": "a", "size": "size_a", "shingles": "of_a"}), "a")
-    both = left.join(of.withColumnsRenamed({"sid": "b", "size": "size_b", "shingles": "of_b"}), "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    counted = both.select("a", "b", common.alias("common"), (F.col("size_a") + F.col("size_b")).alias("sizes"))
-    return counted.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select("a", "b")
+    left = pairs.join(of.withColumnsRenamed({"sid": "a", "size": "size_a", "shingles": "shingles_a"}), "a")
+    both = left.join(of.withColumnsRenamed({"sid": "b", "size": "size_b", "shingles": "shingles_b"}), "b")
+    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    counted = both.select(*pairs.columns, common.alias("common"), (F.col("size_a") + F.col("size_b")).alias("sizes"))
+    return counted.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select(*pairs.columns)
+
+
+def mixed_lists(placed: DataFrame, *more) -> DataFrame:
+    """Index lists that hold sets of several components."""
+    ends = F.min("component").alias("low"), F.max("component").alias("high")
+    return placed.groupBy("shingle").agg(*ends, *more).where("low <> high").drop("low", "high")
+
+
+def ask_leaders(placed: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Components that link when sets ask the leaders of their lists: ``a``, ``b``.
+
+    First the most central set of a list leads, later one that a hash picks anew for each list.
+    A set asks the leaders that it meets most often.
+    """
+    order = F.col("sid") if turn == 0 else F.xxhash64("sid", "shingle", F.lit(turn))
+    leaders = mixed_lists(placed, F.max_by("sid", order).alias("b"), F.max_by("component", order).alias("of_b"))
+    met = placed.join(leaders, "shingle").where("component <> of_b")
+    asks = met.groupBy(F.col("sid").alias("a"), "b", F.col("component").alias("of_a"), "of_b").count()
+    best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("a", "b"))
+    chosen = asks.withColumn("n", F.row_number().over(best)).where(F.col("n") <= ASKED[turn])
+    links = linked(chosen.select("a", "b", "of_a", "of_b"), sets, percent)
+    return links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+
+
+def merged_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (``sid``, ``component``) after components that ``edges`` link have become one."""
+    merged = components(edges).select(F.col("node").alias("component"), F.col("component").alias("becomes"))
+    joined = labels.join(merged, "component", "left")
+    return joined.select("sid", F.coalesce("becomes", "component").alias("component"))
 
 
 def block_pairs(percent: int):
@@ -294,19 +323,16 @@ def similar_documents(
     postings = sets.select("sid", "size", alone.alias("alone"), F.posexplode(first).alias("at", "shingle"))
     postings = stored(postings.select("shingle", "sid", "size", (F.col("alone") + F.col("at")).alias("place")), "postings")
 
-    # Round one: ask the most central set of every list.
-    lists = postings.groupBy("shingle").agg(F.max("sid").alias("b"), F.count("*").alias("n")).where(F.col("n") > 1)
-    asks = postings.join(lists.drop("n"), "shingle").where("sid <> b").groupBy(F.col("sid").alias("a"), "b").count()
-    best = Window.partitionBy("a").orderBy(F.desc("count"), F.desc("b"))
-    chosen = asks.withColumn("turn", F.row_number().over(best)).where(F.col("turn") <= ASKED).select("a", "b")
-    known = components(linked(chosen, sets, percent))
-
-    # Round two: lists that still hold several components, block by block.
-    of = known.select(F.col("node").alias("sid"), "component")
-    placed = postings.join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    placed = stored(placed, "placed")
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    mixed = mixed.where("low <> high").select("shingle", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    # Sets ask the leaders of their lists, and lists that come to hold one component are done.
+    labels = sets.select("sid", F.col("sid").alias("component"))
+    placed = postings.withColumn("component", F.col("sid"))
+    for turn in range(len(ASKED)):
+        labels = stored(merged_labels(labels, ask_leaders(placed, sets, turn, percent)), "labels")
+        placed = placed.drop("component").join(labels, "sid")
+        placed = stored(placed.join(mixed_lists(placed), "shingle", "left_semi"), "placed")
+
+    # What is left is compared block by block.
+    mixed = mixed_lists(placed, F.count("*").alias("n")).select("shingle", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     listed = placed.join(mixed, "shingle").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
     # Block i meets blocks i and above; side 0 and 1 are compared with each other, 2 with itself.
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
@@ -324,11 +350,9 @@ def similar_documents(
     most = F.col("met") + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) - 1
     possible = sized.where((100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b"))).select("a", "b")
     later = linked(stored(possible, "pairs"), sets, percent)
-    links = later.join(of.withColumnsRenamed({"sid": "a", "component": "of_a"}), "a", "left").join(of.withColumnsRenamed({"sid": "b", "component": "of_b"}), "b", "left")
-    merged = components(links.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
-
-    component = sets.select("digest", "sid").join(of, "sid", "left").select("digest", F.coalesce("component", "sid").alias("node"))
-    component = component.join(merged, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    of = labels.withColumnsRenamed({"sid": "a", "component": "of_a"}), labels.withColumnsRenamed({"sid": "b", "component": "of_b"})
+    links = later.join(of[0], "a").join(of[1], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    component = sets.select("digest", "sid").join(merged_labels(labels, links), "sid").drop("sid")
     documents = table.select("digest", "size", F.explode("ids").alias("doc_id"))
     smallest = documents.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     grouped = smallest.join(component, "digest", "left").withColumn("name", F.coalesce(F.col("component").cast("string"), F.hex("digest")))
