@@ -139,9 +139,9 @@ def test_payments(spark):
     ]
     assert rows_of(jobs.payment_warnings(got)) == [
         ("p2", "pay time out"),
-        ("p2", "receipt time out"),
-        ("p4", "receipt time out"),
-        ("p5", "receipt time out"),
+        ("p2", "receiptState time out"),
+        ("p4", "receiptState time out"),
+        ("p5", "receiptState time out"),
         ("p9", "pay time out"),
     ]
 

@@ -232,3 +232,12 @@ def test_empty_input(spark):
         op.running_distinct(df, "user", SECOND),
     ]
     assert [frame.count() for frame in empty] == [0] * len(empty)
+
+
+@pytest.mark.parametrize("slices", [None, 2])
+@pytest.mark.parametrize("at,cancelled", [(0.5, True), (1, True), (1.5, True), (2, True), (2.000001, False), (3, False)])
+def test_a_success_up_to_the_horizon_discards_a_burst(spark, at, cancelled, slices):
+    rows = [("a", "fail", 0, 0), ("a", "fail", 1, 1), ("a", "ok", at, 2), ("a", "fail", 10, 3), ("a", "fail", 11, 4)]
+    got = op.fail_burst(frame(spark, rows, LOG), ["user"], F.col("state") == "fail", 2 * SECOND, rows_per_task=slices)
+    want = [("a", 10, 11, 2)] if cancelled else [("a", 0, 1, 2), ("a", 10, 11, 2)]
+    assert rows_of(got) == want
