@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import fold_ascii, spread_lookup
+from tidemark.llm.tables import fold_ascii, spread_lookup, stored
 
 #: A chunk has at least this many characters (but for the last) and ends after the first
 #: sentence end or line end beyond them; without one it ends at the largest length.
@@ -55,7 +55,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text counts as empty.  Null ids come before all others; rows that repeat the id that
     stays all stay.  An empty table gives an empty result; other columns are not read.
     """
-    recipes = chunk_recipes(docs, id_col, text_col)
+    recipes = stored(chunk_recipes(docs, id_col, text_col), "recipes")
     identifiers = chunk_dictionary(docs, id_col, text_col).groupBy("chunk_id").count()
     ambiguous = identifiers.where("count > 1").agg(F.count("*")).scalar()
     groups = (
