@@ -241,9 +241,17 @@ def test_repeated_passages(spark, odd_rows):
 
 
 def test_long_text_without_stops_has_sentences():
-    text = " ".join(WORDS[:100]).encode()
-    parts = sentence_spans.sentences(text)
-    assert b"".join(parts) == text and {len(p.split()) for p in parts[:-1]} == {16}
+    rng = random.Random(1)
+    passage = [rng.choice(WORDS) for _ in range(80)]
+    found = []
+    for before in range(1, 20):
+        text = " ".join([*rng.sample(WORDS, before), *passage, *rng.sample(WORDS, 9)]).encode()
+        parts = sentence_spans.sentences(text)
+        assert b"".join(parts) == text and max(len(p.split()) for p in parts) <= 16
+        found.append(set(parts))
+    # Wherever the passage begins, most of it is cut as in the first text.
+    alike = [sum(len(part.split()) for part in found[0] & other) for other in found[1:]]
+    assert min(alike) >= 40, alike
 
 
 def test_passages_of_rows_without_and_with_one_id_stay(spark):

@@ -21,11 +21,13 @@ from tidemark.llm.tables import spread_lookup
 #: A run has at least so many sentences and so many words.
 SENTENCES, WORDS = 3, 12
 
-#: A sentence is cut after so many words, so that text without stops has sentences too.
-LONGEST = 16
+#: A sentence of more words is cut, so that text without stops has sentences too: after a word
+#: that its own hash picks, one in SEVERAL, so that equal passages are cut alike wherever they
+#: begin, and after LONGEST words at the latest.
+SEVERAL, LONGEST = 5, 16
 
 SENTENCE = re.compile(rb"[^.!?\n]*+(?:[.!?]++(?!\s)[^.!?\n]*+)*+(?:[.!?]*+\s++)?")
-SOME_WORDS = re.compile(rb"\s*(?:\S++(?:\s+|\Z)){1,%d}|\s+" % LONGEST)
+WORD = re.compile(rb"\s*\S+\s*")
 
 #: Odd factors of the two halves of a run's hash.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
@@ -43,10 +45,22 @@ def sentences(text: bytes) -> list[bytes]:
         if part.count(b" ") < LONGEST or len(part.split()) <= LONGEST:
             out.append(part)
         else:
-            out.extend(SOME_WORDS.findall(part))
+            out.extend(cut_sentence(part))
     return out[:-1]  # the last match is empty
 
 
+def cut_sentence(sentence: bytes) -> Iterator[bytes]:
+    begin, words = 0, 0
+    for word in WORD.finditer(sentence):
+        words += 1
+        picked = xxhash.xxh32_intdigest(word[0].strip().lower()) % SEVERAL == 0
+        if picked or words == LONGEST:
+            yield sentence[begin : word.end()]
+            begin, words = word.end(), 0
+    if begin < len(sentence):
+        yield sentence[begin:]
+
+
 class Runs:
     """The shortest long enough runs from every sentence of some texts on.
 
