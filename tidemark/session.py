@@ -36,7 +36,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session somebody else created."""
-    for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+    """A session somebody else created, in UTC: the one setting that batch results depend on."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
