@@ -26,11 +26,12 @@ from tidemark.llm.tables import spread_lookup, stored
 SHINGLE, PERCENT = 5, 75
 
 #: Shingles a task hashes at a time, and bytes of text for a bucket of shingles.
-BATCH_SHINGLES, BUCKET_BYTES = 1 << 21, 24 << 20
+BATCH_SHINGLES, BUCKET_BYTES = 1 << 20, 12 << 20
 
 #: A shingle in so many sets of a batch is common: it comes last in the order of all sets and
 #: is not sent to be counted set by set.
 COMMON = 16
+MOST_WORDS = 300_000  # words whose hashes a task remembers
 COMMON_COUNT = np.uint32(2**32 - 1)
 
 #: Leaders that a set asks in each round, and sets of a list block.
@@ -51,7 +52,7 @@ def shingle_set(text: bytes, hashes: WordHashes, n: int) -> np.ndarray:
     if len(words) < n:
         joined = xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)
         return np.array([joined] if words else [], np.uint64)
-    if len(hashes) > 1_000_000:
+    if len(hashes) > MOST_WORDS:
         hashes.clear()
     values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     mixed = values[: len(words) - n + 1].copy()

@@ -25,7 +25,7 @@ WINDOW, END_ID = 2048, 1
 MOST_OPEN = 4096
 
 #: Bytes of ids in a batch that leaves a task, and words whose ids a task remembers.
-BATCH_BYTES, MOST_WORDS = 4 << 20, 1_000_000
+BATCH_BYTES, MOST_WORDS = 4 << 20, 600_000
 
 
 #: ASCII characters that are neither letters, digits, white space nor apostrophe.
