@@ -5,7 +5,7 @@ shingles, and a set whose first shingles stand nowhere else is done.  Index list
 are walked in two ways.  First, for a few rounds, each set asks only leading sets of its lists,
 and what links to a set is taken over from it: documents of one component need no further
 comparison.  Then lists that still hold several components are compared block by block; blocks
-whose sizes or positions rule a link out are skipped.
+whose sizes or positions rule a link out are skipped, and pairs whose sketches do.
 """
 
 from __future__ import annotations
@@ -37,6 +37,9 @@ COMMON_COUNT = np.uint32(2**32 - 1)
 #: Leaders that a set asks in each round, and sets of a list block.
 ASKED, BLOCK = (2, 12, 12), 1024
 
+#: Bits of a set's sketch: each says whether an odd number of its shingles falls on it.
+SKETCH = 1024
+
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -169,6 +172,12 @@ def counted(part: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["batch", "counts", "shingles", "found"])
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Two sets differ in at least as many shingles as their sketches differ in bits."""
+    spots = (shingles * MIX) >> np.uint64(64 - SKETCH.bit_length() + 1)
+    return np.packbits(np.bincount(spots.astype(np.int64), minlength=SKETCH) % 2 == 1).tobytes()
+
+
 def joined_sets(percent: int):
     def join_batch(part: pa.Table) -> pa.Table:
         """The sets of a batch with their shared shingles, from the rarest up."""
@@ -192,9 +201,11 @@ def joined_sets(percent: int):
         ends = np.cumsum(shared)
         kept = [shingle[e - s : e].view(np.int64) if a else shingle[:0].view(np.int64) for e, s, a in zip(ends, shared, ask, strict=True)]
         digests = [head["digests"][20 * i : 20 * i + 20] for i in range(len(sizes))]
-        arrays = [part.schema.field("ids").type.value_type, pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64())]
-        values = [head["ids"], digests, sizes, ask, weight, kept]
-        return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(values, arrays, strict=True)], names=["ids", "digest", "size", "ask", "centre", "shingles"])
+        sketches = [sketch(k.view(np.uint64)) if len(k) else None for k in kept]
+        arrays = [part.schema.field("ids").type.value_type, pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary()]
+        values = [head["ids"], digests, sizes, ask, weight, kept, sketches]
+        names = ["ids", "digest", "size", "ask", "centre", "shingles", "sketch"]
+        return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(values, arrays, strict=True)], names=names)
 
     return join_batch
 
@@ -202,7 +213,7 @@ def joined_sets(percent: int):
 def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Stored distinct sets of each batch: ``ids`` of the documents, ``digest``, ``size``,
     ``ask`` (leading shared shingles that can link it), ``centre``, ``shingles`` (shared ones
-    from the rarest up, only where ``ask`` > 0)."""
+    from the rarest up) and their ``sketch``, both only where ``ask`` > 0."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES + 1)
@@ -223,7 +234,7 @@ def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return pa.Table.from_arrays(arrays, names=["batch", "ids", "sizes", "digests", "counts", "shingles", "found"])
 
     counts = batches.withColumn("deal", spread).groupBy("deal").applyInArrow(passed, out)
-    schema = f"ids array<{id_type}>, digest binary, size long, ask long, centre double, shingles array<long>"
+    schema = f"ids array<{id_type}>, digest binary, size long, ask long, centre double, shingles array<long>, sketch binary"
     return stored(counts.groupBy("batch").applyInArrow(joined_sets(percent), schema), "sets")
 
 
@@ -268,11 +279,12 @@ def merged_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 def block_pairs(percent: int):
     def compare(part: pa.Table) -> pa.Table:
-        """Pairs of two blocks of an index list that are of different components and whose sizes
-        and positions allow a link."""
-        column = {c: part.column(c).to_numpy() for c in ("sid", "size", "place", "component", "side")}
+        """Pairs of two blocks of an index list that are of different components and whose sizes,
+        positions and sketches allow a link."""
+        column = {c: part.column(c).to_numpy() for c in ("sid", "size", "place", "component", "side", "alone")}
         order = np.argsort(column["place"], kind="stable")
         column = {c: v[order] for c, v in column.items()}
+        sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint64).reshape(len(order), -1)[order]
         one, two = np.flatnonzero(column["side"] != 1), np.flatnonzero(column["side"] != 0)
         rest = column["size"] - column["place"]  # shingles from the common one on
         found = []
@@ -290,6 +302,11 @@ def block_pairs(percent: int):
                 may = (100 + percent) * most >= percent * sizes
                 may &= column["component"][a][:, None] != column["component"][b]
                 x, y = np.nonzero(may)
+                # Shingles of one set only: where the sketches differ, and those of no other set.
+                apart = np.bitwise_count(sketches[a[x]] ^ sketches[b[y]]).sum(1, dtype=np.int64)
+                apart += column["alone"][a[x]] + column["alone"][b[y]]
+                near = (100 + percent) * apart <= (100 - percent) * sizes[x, y]
+                x, y = x[near], y[near]
                 found.append((column["sid"][a][x], column["sid"][b][y], column["place"][a][x], column["place"][b][y]))
         a, b, pa_, pb = (np.concatenate([f[k] for f in found]) if found else np.array([], np.int64) for k in range(4))
         low = a < b
@@ -314,7 +331,7 @@ def similar_documents(
     table = set_table(named, n, percent)
     open_sets = table.where("ask > 0").groupBy("digest").agg(
         F.first("size").alias("size"), F.first("ask").alias("ask"),
-        F.first("centre").alias("centre"), F.first("shingles").alias("shingles"),
+        F.first("centre").alias("centre"), F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"),
     )
     # Sorted by centre, so that of two numbers the larger is the more central set.
     ordered = stored(open_sets.repartitionByRange("centre", "digest").sortWithinPartitions("centre", "digest"), "open-sets")
@@ -335,10 +352,12 @@ def similar_documents(
     # What is left is compared block by block.
     mixed = mixed_lists(placed, F.count("*").alias("n")).select("shingle", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     listed = placed.join(mixed, "shingle").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
+    listed = listed.join(sets.select("sid", alone.alias("alone"), "sketch"), "sid")
     # Block i meets blocks i and above; side 0 and 1 are compared with each other, 2 with itself.
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = listed.select("shingle", "sid", "size", "place", "component", "block", other).select(
-        "shingle", "sid", "size", "place", "component",
+    carried = ["shingle", "sid", "size", "place", "component", "alone", "sketch"]
+    dealt = listed.select(*carried, "block", other).select(
+        *carried,
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
     )
