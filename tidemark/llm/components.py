@@ -14,7 +14,7 @@ def star(edges: DataFrame, larger: bool) -> DataFrame:
     With ``larger`` only neighbours above the node move, without it the node and those below.
     """
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     if larger:
         moved = both.where("b > a").join(least, "a").select(F.col("b").alias("x"), "m")
         return moved.where("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct()
