@@ -32,9 +32,11 @@ BATCH_BYTES, MOST_WORDS = 4 << 20, 600_000
 PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
-def ends_in_letter(word: str) -> bool:
+def ends_in_letter(word: bytes) -> bool:
     """Whether the last character stays a letter when normalised and lower-cased."""
-    return unicodedata.normalize("NFC", word[-1]).lower().isalpha()
+    if word[-1] < 128:
+        return word[-1:].isalpha()
+    return unicodedata.normalize("NFC", word.decode()[-1]).lower().isalpha()
 
 
 class WordEncoder:
@@ -70,19 +72,22 @@ class WordEncoder:
     def learn(self, words: set[bytes]) -> None:
         ended, parts = [], set()
         for word in words:
-            letters = word if b"<|" in word else word.rstrip(PUNCTUATION)
-            if len(letters) < len(word) and letters and ends_in_letter(letters.decode()):
-                ended.append((word, letters, word[len(letters) :]))
-                parts.update(ended[-1][1:])
-            else:
-                parts.add(word)
+            if word[-1] in PUNCTUATION and b"<|" not in word:
+                letters = word.rstrip(PUNCTUATION)
+                if letters and ends_in_letter(letters):
+                    ended.append((word, letters, word[len(letters) :]))
+                    parts.update(ended[-1][1:])
+                    continue
+            parts.add(word)
         self.encode([part.decode() for part in parts.difference(self.ids)])
         for word, letters, rest in ended:
             self.ids[word] = self.ids[letters] + self.ids[rest]
 
     def encode(self, parts: list[str]) -> None:
         """Words of letters go through the tokenizer as one text, others each by itself."""
-        plain = [part for part in parts if part.isalpha()]
+        plain, others = [], []
+        for part in parts:
+            (plain if part.isalpha() else others).append(part)
         (found,) = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
         ids = np.array(found.ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
@@ -93,7 +98,7 @@ class WordEncoder:
                 begin = end
         else:  # lower-casing made something else of a letter
             self.encode_each(plain)
-        self.encode_each([part for part in parts if not part.isalpha()])
+        self.encode_each(others)
 
     def encode_each(self, parts: list[str]) -> None:
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
