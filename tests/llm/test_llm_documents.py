@@ -307,3 +307,17 @@ def test_empty_tables(spark):
         assert result.count() == 0
     nothing = mixing.fair_queue(table(spark, [(1, None, None), (2, "", "a")])).collect()
     assert [(r.size, r.target, r.taken) for r in nothing] == [(0, 0.0, 0)] * 2
+
+
+def lines_dropped(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r.dropped_lines for r in line_templates.drop_recurring_lines(docs).collect()}
+
+
+@pytest.mark.parametrize("docs", [40, 600, 3000])
+def test_templates_with_word_fields_are_found_in_tables_of_any_size(spark, docs):
+    """Two fields of 100 values each: the values recur in large tables, their pairs do not."""
+    rng, letters = random.Random(docs), "abcdefghij"
+    value = lambda name: name + rng.choice(letters) + rng.choice(letters)
+    texts = [f"latest news of today posted in {value('city')} by {value('name')} for all readers of this site" for _ in range(docs)]
+    assert lines_dropped(spark, texts) == {i: int(i > 0) for i in range(docs)}

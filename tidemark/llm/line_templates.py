@@ -1,9 +1,12 @@
-"""Line dedup by a fixed-depth tree of log templates, in built-in expressions only.
-
-A line goes down the tree by its number of tokens and its leading tokens, tokens with digits
-taken as variable.  In a leaf, a token that enough documents have at its place is a constant of
-the template; all others are variable fields.  Templates that recur across documents are
-dropped, but for the document that has them first.
+"""Line dedup by log templates, in built-in expressions only.
+
+Tokens with digits are variable.  A line that may have v variable tokens is cut into v + 1
+segments, so lines of one template share a whole segment, wherever their variable fields stand.
+A line goes to the leaf of its most frequent segment (with the number of tokens and the place).
+There, what is constant is measured by the line itself: by the support of the least frequent
+token that must be constant.  Templates that recur across documents are dropped, but for the
+document that has them first.  All but the number of documents goes by shares, so a template is
+found in a large table as in a small one.
 """
 
 from __future__ import annotations
@@ -13,15 +16,19 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import spread_lookup, stored
 
-#: Leading tokens that choose the leaf, and documents a template must stand in.
-DEPTH, MIN_DOCS = 4, 10
+#: Documents a template must stand in.
+MIN_DOCS = 10
 
 #: Shorter lines are never templates; so much of a template must be constant.
 MIN_TOKENS, CONSTANT = 4, 0.7
 
+#: Constant are tokens with at least so much of the support that the line's constants have: one
+#: template a share.
+SHARES = (0.5, 1.0)
+
 VARIABLE = "<*>"
 
-#: Busy leaves, 8 bytes each, that are sent to all tasks rather than lines to leaves.
+#: Busy leaves, and lines in them, that are sent to all tasks rather than shuffled.
 MOST_BROADCAST = 1_000_000
 
 
@@ -41,69 +48,101 @@ def clean(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\r"))
 
 
-def line_table(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """``doc_id``, ``line`` (masked) and ``leaf`` for every line long enough.
+def must_be_constant(tokens: Column, constant: float) -> Column:
+    return F.ceil(F.size(tokens) * constant - F.lit(1e-9)).cast("int")
 
-    Tokens are parted by single spaces; the leaf is their number and the first ``depth``."""
+
+def line_table(docs: DataFrame, min_tokens: int, constant: float) -> DataFrame:
+    """``doc_id``, ``key``, ``line`` (masked) and ``tokens`` for every line that may be of a
+    template."""
     lines = masked_texts(docs, F.col("text")).select("doc_id", F.explode(F.split("_masked", "\n")).alias("line"))
-    lines = lines.select("doc_id", clean(F.col("line")).alias("line"))
-    spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
-    leaf = F.xxhash64(spaces, F.substring_index("line", " ", depth))
-    return lines.where(spaces >= min_tokens - 1).withColumn("leaf", leaf)
-
-
-def templates(lines: DataFrame, leaves: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """``key`` of a line and the ``template`` it belongs to, for lines of busy leaves."""
-    busy = lines.join(leaves, "leaf", "left_semi")
-    distinct = stored(busy.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "template-lines")
-    # The fields of a line carry its key, not the line.
-    keyed = distinct.select("leaf", line_key(F.col("line")).alias("key"), "line", "docs")
-    fields = keyed.select("leaf", "key", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    constants = (
-        fields.groupBy("leaf", "at", "token")
-        .agg(F.sum("docs").alias("support"))
-        .where((F.col("support") >= min_docs) & (F.col("token") != VARIABLE))
-        .select("leaf", "at", "token", F.lit(True).alias("fixed"))
-    )
-    known = spread_lookup(fields.drop("docs"), constants, ["leaf", "at", "token"], by="key", ways=8)
-    shown = F.when(F.col("fixed"), F.col("token")).otherwise(VARIABLE)
-    parts = known.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("at", shown.alias("token")))).alias("fields"),
-        F.avg(F.coalesce(F.col("fixed"), F.lit(False)).cast("int")).alias("share"),
+    lines = lines.select("doc_id", clean(F.col("line")).alias("line")).where("line <> ''")
+    lines = lines.withColumn("tokens", F.split("line", " ")).where(F.size("tokens") >= min_tokens)
+    fixed = F.size(F.array_remove("tokens", VARIABLE))
+    lines = lines.where(fixed >= must_be_constant(F.col("tokens"), constant))
+    return lines.select("doc_id", line_key(F.col("line")).alias("key"), "line", "tokens")
+
+
+def segments(tokens: Column, constant: float) -> Column:
+    """The leaves a line can go to: one for each segment without a variable token."""
+    n = F.size(tokens)
+    parts = n - must_be_constant(tokens, constant) + 1
+
+    def leaf(at: Column) -> Column:
+        begin, end = (F.floor(x * n / parts).cast("int") for x in (at, at + 1))
+        segment = F.slice(tokens, begin + 1, end - begin)
+        return F.when(~F.array_contains(segment, VARIABLE), F.xxhash64(n, at, segment))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), parts - 1), leaf), lambda x: x.isNotNull())
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    """``rows``, broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+
+def leaves_of_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """``key`` and ``leaf`` of the lines with a segment that stands often enough."""
+    pairs = lines.select("key", F.explode(segments(F.col("tokens"), constant)).alias("leaf"))
+    busy = stored(pairs.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "leaves")
+    largest = F.max(F.struct("n", "leaf"))
+    of_lines = pairs.join(sent(busy), "leaf").groupBy("key").agg(largest.alias("largest"))
+    return stored(of_lines.select("key", F.col("largest.leaf").alias("leaf")), "line-leaves")
+
+
+def templates(distinct: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """``key`` of a line and each ``template`` it belongs to."""
+    fields = distinct.select("leaf", "key", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    fields = fields.where(F.col("token") != VARIABLE)
+    supports = (
+        fields.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     )
-    template = F.array_join(F.col("fields.token"), " ")
-    return parts.where(F.col("share") >= constant).select("key", template.alias("template"))
+    known = spread_lookup(fields.drop("docs"), supports, ["leaf", "at", "token"], by="key", ways=8, how="inner")
+    parts = known.groupBy("key").agg(F.collect_list(F.struct("at", "token", "support")).alias("fields"))
+    lines = distinct.select("key", F.split("line", " ").alias("tokens"))
+    ranked = F.sort_array(F.col("fields.support"), asc=False)
+    needed = must_be_constant(F.col("tokens"), constant)
+    found = lines.join(parts, "key").where(F.size("fields") >= needed).withColumn("level", F.element_at(ranked, needed))
+
+    def template(share: float) -> Column:
+        fixed = F.filter("fields", lambda x: x["support"] >= F.col("level") * share)
+        # Equal numbers of tokens and equal constants are equal templates.
+        places = F.array_sort(F.transform(fixed, lambda x: F.struct(x["at"].alias("at"), x["token"].alias("token"))))
+        return F.concat_ws(" ", F.size("tokens"), F.to_json(places))
+
+    each = F.array_distinct(F.array(*[F.unhex(F.md5(template(share))) for share in SHARES]))
+    return found.select("key", F.explode(each).alias("template"))
 
 
 def recurring_lines(
     docs: DataFrame,
-    depth: int = DEPTH,
     min_docs: int = MIN_DOCS,
     min_tokens: int = MIN_TOKENS,
     constant: float = CONSTANT,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id``, ``template``, ``key`` of the lines to drop."""
+    """``doc_id``, ``key`` of the lines to drop."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = line_table(named.where(F.col("doc_id").isNotNull()), depth, min_tokens)
-    keys = stored(lines.select("doc_id", "leaf", line_key(F.col("line")).alias("key")), "lines")
-    leaves = keys.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    leaves = stored(leaves, "leaves")
-    if leaves.count() <= MOST_BROADCAST:  # at most 8 MB; beyond that the lines are shuffled
-        leaves = F.broadcast(leaves)
-    found = templates(lines, leaves, min_docs, constant)
-    of_lines = spread_lookup(keys.select("doc_id", "key"), found, ["key"], by="doc_id", how="inner").distinct()
-    of_lines = stored(of_lines, "line-templates")
+    lines = line_table(named.where(F.col("doc_id").isNotNull()), min_tokens, constant)
+    leaves = sent(leaves_of_lines(lines, min_docs, constant))
+    kept = lines.select("doc_id", "key", "line").join(leaves, "key")
+    distinct = stored(kept.groupBy("leaf", "key", "line").agg(F.count("*").alias("docs")), "template-lines")
+    found = stored(templates(distinct, min_docs, constant), "templates")
+    # A line goes with the most frequent of its templates.
+    keys = stored(lines.select("doc_id", "key").join(sent(found.select("key").distinct()), "key").distinct(), "lines")
     recurring = (
-        of_lines.select("template", "doc_id")
+        spread_lookup(keys, found, ["key"], by="doc_id", how="inner")
+        .select("template", "doc_id")
         .distinct()
         .groupBy("template")
         .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
         .where(F.col("n") >= min_docs)
     )
-    drops = spread_lookup(of_lines, recurring, ["template"], by="doc_id", how="inner")
-    return drops.where("doc_id <> first").select("doc_id", "template", "key")
+    most = F.max_by("first", F.struct("n", "template")).alias("first")
+    of_lines = spread_lookup(found, recurring, ["template"], by="key", how="inner").groupBy("key").agg(most)
+    drops = spread_lookup(keys, of_lines, ["key"], by="doc_id", how="inner")
+    return drops.where("doc_id <> first").select("doc_id", "key")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
