@@ -321,3 +321,11 @@ def test_templates_with_word_fields_are_found_in_tables_of_any_size(spark, docs)
     value = lambda name: name + rng.choice(letters) + rng.choice(letters)
     texts = [f"latest news of today posted in {value('city')} by {value('name')} for all readers of this site" for _ in range(docs)]
     assert lines_dropped(spark, texts) == {i: int(i > 0) for i in range(docs)}
+
+
+def test_templates_with_a_word_field_at_the_begin_and_any_white_space(spark):
+    names = ["".join(random.Random(i).choices("abcdefghij", k=8)) for i in range(20)]
+    texts = [f"posted by {a} on our front page\nuser {a} logged in\n{a} has left this channel" for a in names]
+    assert lines_dropped(spark, texts) == {i: 3 * (i > 0) for i in range(20)}
+    spaced = ["all readers  see\tthis line", "all readers see this line", " all\treaders see  this line\r"] * 4
+    assert lines_dropped(spark, spaced) == {i: int(i > 0) for i in range(12)}

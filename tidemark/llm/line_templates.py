@@ -37,15 +37,18 @@ def line_key(line: Column) -> Column:
 
 
 def masked_texts(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with the column ``_masked``: the text in lower case, with tokens that hold a
-    digit as variable.  It has the lines of the text, one for one."""
+    """``docs`` with the column ``_masked``: the text in lower case, white space within lines as
+    single spaces, with tokens that hold a digit as variable.  It has the lines of the text, one
+    for one."""
     low = docs.withColumn("_low", F.lower(text))
+    single = F.regexp_replace("_low", r"[ \t\x0B\f\r]+", " ")
+    low = low.withColumn("_low", F.when(F.col("_low").rlike(r"  |[\t\x0B\f\r]"), single).otherwise(F.col("_low")))
     variable = F.regexp_replace("_low", r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)
     return low.withColumn("_masked", F.when(F.col("_low").rlike(r"\d"), variable).otherwise(F.col("_low"))).drop("_low")
 
 
 def clean(line: Column) -> Column:
-    return F.trim(line, F.lit(" \t\r"))
+    return F.trim(line)
 
 
 def must_be_constant(tokens: Column, constant: float) -> Column:
