@@ -329,3 +329,9 @@ def test_templates_with_a_word_field_at_the_begin_and_any_white_space(spark):
     assert lines_dropped(spark, texts) == {i: 3 * (i > 0) for i in range(20)}
     spaced = ["all readers  see\tthis line", "all readers see this line", " all\treaders see  this line\r"] * 4
     assert lines_dropped(spark, spaced) == {i: int(i > 0) for i in range(12)}
+
+
+def test_short_lines_recur(spark):
+    lines = ["All rights reserved.", "Read more", "Menu"]
+    texts = ["\n".join([*lines, "", f"page {i}", "abcdefghijkl"[i]]) for i in range(12)]
+    assert lines_dropped(spark, texts) == {i: 3 * (i > 0) for i in range(12)}

@@ -19,8 +19,8 @@ from tidemark.llm.tables import spread_lookup, stored
 #: Documents a template must stand in.
 MIN_DOCS = 10
 
-#: Shorter lines are never templates; so much of a template must be constant.
-MIN_TOKENS, CONSTANT = 4, 0.7
+#: So much of a template must be constant; in lines of up to three tokens that is every token.
+CONSTANT = 0.7
 
 #: Constant are tokens with at least so much of the support that the line's constants have: one
 #: template a share.
@@ -55,12 +55,12 @@ def must_be_constant(tokens: Column, constant: float) -> Column:
     return F.ceil(F.size(tokens) * constant - F.lit(1e-9)).cast("int")
 
 
-def line_table(docs: DataFrame, min_tokens: int, constant: float) -> DataFrame:
+def line_table(docs: DataFrame, constant: float) -> DataFrame:
     """``doc_id``, ``key``, ``line`` (masked) and ``tokens`` for every line that may be of a
     template."""
     lines = masked_texts(docs, F.col("text")).select("doc_id", F.explode(F.split("_masked", "\n")).alias("line"))
     lines = lines.select("doc_id", clean(F.col("line")).alias("line")).where("line <> ''")
-    lines = lines.withColumn("tokens", F.split("line", " ")).where(F.size("tokens") >= min_tokens)
+    lines = lines.withColumn("tokens", F.split("line", " "))
     fixed = F.size(F.array_remove("tokens", VARIABLE))
     lines = lines.where(fixed >= must_be_constant(F.col("tokens"), constant))
     return lines.select("doc_id", line_key(F.col("line")).alias("key"), "line", "tokens")
@@ -120,14 +120,13 @@ def templates(distinct: DataFrame, min_docs: int, constant: float) -> DataFrame:
 def recurring_lines(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
-    min_tokens: int = MIN_TOKENS,
     constant: float = CONSTANT,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id``, ``key`` of the lines to drop."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = line_table(named.where(F.col("doc_id").isNotNull()), min_tokens, constant)
+    lines = line_table(named.where(F.col("doc_id").isNotNull()), constant)
     leaves = sent(leaves_of_lines(lines, min_docs, constant))
     kept = lines.select("doc_id", "key", "line").join(leaves, "key")
     distinct = stored(kept.groupBy("leaf", "key", "line").agg(F.count("*").alias("docs")), "template-lines")
