@@ -335,3 +335,17 @@ def test_short_lines_recur(spark):
     lines = ["All rights reserved.", "Read more", "Menu"]
     texts = ["\n".join([*lines, "", f"page {i}", "abcdefghijkl"[i]]) for i in range(12)]
     assert lines_dropped(spark, texts) == {i: 3 * (i > 0) for i in range(12)}
+
+
+def test_passages_without_stops_are_found_wherever_they_begin(spark):
+    rng = random.Random(1)
+    passage = rng.sample(WORDS, 80)
+    texts = [" ".join([*(f"a{i}x{k}" for k in range(i)), *passage, *(f"z{i}x{k}" for k in range(9))]) for i in range(19)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in sentence_spans.remove_repeated_passages(docs).collect()}
+    assert got[0].text == texts[0]
+    for i in range(1, 19):
+        left = got[i].text.split()
+        # At least 40 of the 80 words went, and none of the others.
+        assert len(set(left) & set(passage)) <= 40 and set(texts[i].split()) - set(left) <= set(passage)
+        assert got[i].repeats_of and got[i].removed > 0

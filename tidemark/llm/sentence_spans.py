@@ -1,13 +1,15 @@
 """Repeated passages: every run of a few consecutive sentences, hashed and joined globally.
 
 A run that stands in several documents stays in the one with the smallest id; in the others,
-and where it stands again in the same document, the sentences it covers go.
+and where it stands again in the same document, the sentences it covers go.  Long sentences are
+also cut where their words say, so a passage is found wherever in a sentence it begins; of them
+only the words that are covered go.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,14 @@ SENTENCES, WORDS = 3, 12
 #: A sentence is cut after so many words, so that text without stops has sentences too.
 LONGEST = 16
 
+#: For runs within such a sentence a second cut is after a word that its own hash picks, one in SEVERAL, and
+#: after LONGEST words at the latest: equal passages are cut alike wherever they begin.  Runs of
+#: this cut have at least as many words as three pieces of the first cut.
+SEVERAL, CONTENT_WORDS = 5, 3 * LONGEST
+
 SENTENCE = re.compile(rb"[^.!?\n]*+(?:[.!?]++(?!\s)[^.!?\n]*+)*+(?:[.!?]*+\s++)?")
 SOME_WORDS = re.compile(rb"\s*(?:\S++(?:\s+|\Z)){1,%d}|\s+" % LONGEST)
+WORD = re.compile(rb"\s*\S+\s*")
 
 #: Odd factors of the two halves of a run's hash.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
@@ -38,25 +46,44 @@ TOGETHER = 500
 def sentences(text: bytes) -> list[bytes]:
     """The sentences of a text in order, each with the white space behind it; joined they are
     the text."""
+    return [piece for piece, _ in pieces(text, SOME_WORDS.findall)]
+
+
+def pieces(text: bytes, cut: Callable[[bytes], Iterable[bytes]]) -> list[tuple[bytes, int]]:
+    """The sentences of a text, long ones cut by ``cut``, and the number of the long one they
+    are of (0: of none)."""
     out = []
-    for part in SENTENCE.findall(text):
+    for number, part in enumerate(SENTENCE.findall(text), 1):
         if part.count(b" ") < LONGEST or len(part.split()) <= LONGEST:
-            out.append(part)
+            out.append((part, 0))
         else:
-            out.extend(SOME_WORDS.findall(part))
+            out.extend((piece, number) for piece in cut(part))
     return out[:-1]  # the last match is empty
 
 
+def cut_by_content(sentence: bytes) -> Iterator[bytes]:
+    begin, words = 0, 0
+    for word in WORD.finditer(sentence):
+        words += 1
+        if words == LONGEST or xxhash.xxh32_intdigest(word[0].strip().lower()) % SEVERAL == 0:
+            yield sentence[begin : word.end()]
+            begin, words = word.end(), 0
+    if begin < len(sentence):
+        yield sentence[begin:]
+
+
 class Runs:
     """The shortest long enough runs from every sentence of some texts on.
 
     ``owner``: the text of each run; ``begin``, ``end``: its sentences, counted over all texts;
     ``hashes``: two 64-bit halves; ``again``: whether it stands earlier in the same text.  Case
-    and white space do not count.
+    and white space do not count.  With ``content`` long sentences are cut by content, and only
+    runs within one are kept.
     """
 
-    def __init__(self, texts: list[bytes], least: int, words: int):
-        self.parts = [sentences(text) for text in texts]
+    def __init__(self, texts: list[bytes], least: int, words: int, content: bool = False):
+        cut = [pieces(text, cut_by_content if content else SOME_WORDS.findall) for text in texts]
+        self.parts = [[piece for piece, _ in of_text] for of_text in cut]
         said = [part.lower().split() for parts in self.parts for part in parts]
         counts = np.fromiter(map(len, said), np.int64, len(said))
         self.first = np.concatenate([[0], np.cumsum([len(parts) for parts in self.parts])]).astype(np.int64)
@@ -66,7 +93,11 @@ class Runs:
         # A run ends once both its words and its sentences with words are enough.
         word_sum, filled = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts > 0))
         end = np.maximum(np.searchsorted(word_sum, word_sum[:-1] + words), np.searchsorted(filled, filled[:-1] + least))
-        starts = np.flatnonzero((end <= self.first[owner + 1]) & (counts > 0))
+        runs = (end <= self.first[owner + 1]) & (counts > 0)
+        if content:
+            long = np.array([number for of_text in cut for _, number in of_text], np.int64)
+            runs[runs] = (long[runs] > 0) & (long[runs] == long[end[runs] - 1])
+        starts = np.flatnonzero(runs)
         self.begin, self.end, self.owner = starts, end[starts], owner[starts]
         # Sentences without words add nothing and take no power, so they change no hash.
         power = np.concatenate([[0], np.cumsum(counts > 0)[:-1]]) if len(counts) else np.zeros(0, np.int64)
@@ -82,6 +113,10 @@ class Runs:
         self.again[order[1:][same]] = True
 
 
+def both_cuts(texts: list[bytes], least: int, words: int) -> tuple[Runs, Runs]:
+    return Runs(texts, least, words), Runs(texts, least, max(words, CONTENT_WORDS), content=True)
+
+
 def powers(factor: np.uint64, count: int) -> np.ndarray:
     out = np.full(count, factor, np.uint64)
     out[0] = 1
@@ -96,8 +131,10 @@ def run_table(docs: DataFrame, least: int, words: int) -> DataFrame:
         for batch in batches:
             texts = pc.cast(batch.column(1), pa.binary())
             for start in range(0, batch.num_rows, TOGETHER):
-                runs = Runs([t or b"" for t in texts.slice(start, TOGETHER).to_pylist()], least, words)
-                table = pa.table({"h1": runs.hashes[:, 0].view(np.int64), "h2": runs.hashes[:, 1].view(np.int64), "owner": runs.owner, "again": runs.again})
+                cuts = both_cuts([t or b"" for t in texts.slice(start, TOGETHER).to_pylist()], least, words)
+                hashes = np.concatenate([runs.hashes for runs in cuts]).view(np.int64)
+                owner, again = (np.concatenate([getattr(runs, name) for runs in cuts]) for name in ("owner", "again"))
+                table = pa.table({"h1": hashes[:, 0], "h2": hashes[:, 1], "owner": owner, "again": again})
                 distinct = table.group_by(["h1", "h2", "owner"]).aggregate([("again", "max")]).combine_chunks()
                 ids = batch.column(0).slice(start, TOGETHER).take(distinct.column("owner").combine_chunks())
                 columns = [distinct.column("h1").combine_chunks(), distinct.column("h2").combine_chunks(), ids, distinct.column("again_max").combine_chunks()]
@@ -135,7 +172,7 @@ def remove_repeated_passages(
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``removed``, ``repeats_of``, ``text``.
 
-    ``removed`` counts the sentences that went, ``repeats_of`` lists the documents in which
+    ``removed`` counts the sentences that went, wholly or in part, ``repeats_of`` lists the documents in which
     their runs stand first, ``text`` is what stays.  Null texts stay null.  Rows without an id
     stay whole.  Rows with one id are one document: none is taken for a repetition of the other.
     An empty table gives an empty result; other columns are not read.
@@ -149,12 +186,17 @@ def remove_repeated_passages(
                 part = batch.slice(start, TOGETHER)
                 kept, gone = part.column(1).to_pylist(), [0] * part.num_rows
                 marked = [i for i, runs in enumerate(part.column(3)) if runs.is_valid and kept[i]]
-                runs = Runs([kept[i].encode() for i in marked], least, words)
-                stays = standing(runs, [part.column(3)[i].as_py() for i in marked])
+                marked_texts = [kept[i].encode() for i in marked]
+                cuts = both_cuts(marked_texts, least, words)
+                later = [part.column(3)[i].as_py() for i in marked]
+                stays = [standing(runs, later) for runs in cuts]
                 for k, i in enumerate(marked):
-                    keep = stays[runs.first[k] : runs.first[k + 1]].tolist()
-                    kept[i] = b"".join(p for p, s in zip(runs.parts[k], keep, strict=True) if s).decode()
-                    gone[i] = len(keep) - sum(keep)
+                    stay = np.ones(len(marked_texts[k]), bool)
+                    for runs, of_cut in zip(cuts, stays, strict=True):
+                        stay &= np.repeat(of_cut[runs.first[k] : runs.first[k + 1]], [len(p) for p in runs.parts[k]])
+                    begins = np.cumsum([0, *(len(p) for p in cuts[0].parts[k][:-1])])
+                    kept[i] = np.frombuffer(marked_texts[k], np.uint8)[stay].tobytes().decode()
+                    gone[i] = int((~np.logical_and.reduceat(stay, begins)).sum())
                 columns = [part.column(0), pa.array(gone, pa.int64()), part.column(2), pa.array(kept, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "removed", "repeats_of", "text"])
 
