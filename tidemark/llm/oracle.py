@@ -91,9 +91,35 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+PREFIX_FREE_PARSE = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+strings AS (
+    SELECT doc_id, p, substr(hx, 2 * p + 1, 100) AS s
+    FROM (SELECT doc_id, hx, unnest(range(length(hx) // 2 - 49)) AS p FROM texts WHERE length(hx) >= 100)
+), firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s
+), marks AS (
+    SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+    FROM strings JOIN firsts USING (s) WHERE first < doc_id
+), runs AS (
+    SELECT *, sum((before IS NULL OR p > before + 50)::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marks
+), spans AS (SELECT doc_id, min(p) AS b, max(p) + 50 AS e FROM runs GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, e - b AS size, b, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS start,
+           max(e) OVER (PARTITION BY doc_id) AS last FROM spans
+), removed AS (
+    SELECT t.doc_id, sum(size)::BIGINT AS n_removed, count(*) AS n_spans,
+           string_agg(substr(hx, 2 * start + 1, 2 * (b - start)), '' ORDER BY b) || substr(any_value(hx), 2 * any_value(last) + 1) AS kept
+    FROM gaps g JOIN texts t ON t.doc_id = g.doc_id GROUP BY t.doc_id
+)
+SELECT t.doc_id, length(hx) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, hx))) AS kept_sha256
+FROM texts t LEFT JOIN removed r ON t.doc_id = r.doc_id
+"""
+
 ORACLE = {
     "op2_chunk_recipe_dedup": CHUNK_RECIPE_DEDUP,
     "op3_dictionary_warc": DICTIONARY_WARC,
     "op8_fair_queue_mix": FAIR_QUEUE_MIX,
     "op9_url_rule_filter": URL_RULE_FILTER,
+    "op11_prefix_free_parse": PREFIX_FREE_PARSE,
 }

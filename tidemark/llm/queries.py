@@ -17,6 +17,7 @@ from tidemark.llm import (
     packing,
     pu_quality,
     sentence_spans,
+    suffix_parse,
     url_rules,
     warc,
 )
@@ -85,6 +86,18 @@ def op10_square_sum_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_free_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_parse.remove_repeated_strings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["length"])
+    return done.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -98,5 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fair_queue_mix,
         op9_url_rule_filter,
         op10_square_sum_packing,
+        op11_prefix_free_parse,
     )
 }
