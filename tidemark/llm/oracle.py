@@ -116,10 +116,44 @@ SELECT t.doc_id, length(hx) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed
 FROM texts t LEFT JOIN removed r ON t.doc_id = r.doc_id
 """
 
+COUNT_AUTOMATA = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), spoken AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), counts AS (
+    SELECT lang, m, array_to_string(w[b : b + m - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS b
+          FROM spoken, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m)
+    GROUP BY ALL
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang
+), frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 100
+), inside AS (
+    SELECT lang, array_to_string(CASE side WHEN 0 THEN w[1 : m - 1] ELSE w[2 : m] END, ' ') AS phrase, max(f) AS f
+    FROM frequent, (SELECT unnest([0, 1]) AS side) WHERE m > 2 GROUP BY 1, 2
+), cuts AS (
+    SELECT lang, phrase, f AS a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : m], ' ') AS tail
+    FROM (SELECT c.*, unnest(range(1, m)) AS k FROM frequent c ANTI JOIN inside i USING (lang, phrase, f) WHERE m > 1)
+), scored AS (
+    SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n,
+           (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = head
+                JOIN frequent y ON y.lang = c.lang AND y.phrase = tail JOIN totals t ON t.lang = c.lang
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER of_lang AS rank, phrase, a, l, r, n, score
+FROM lowest WINDOW of_lang AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op2_chunk_recipe_dedup": CHUNK_RECIPE_DEDUP,
     "op3_dictionary_warc": DICTIONARY_WARC,
     "op8_fair_queue_mix": FAIR_QUEUE_MIX,
     "op9_url_rule_filter": URL_RULE_FILTER,
     "op11_prefix_free_parse": PREFIX_FREE_PARSE,
+    "op12_count_automata": COUNT_AUTOMATA,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chunk_dedup,
+    collocations,
     curves,
     jaccard,
     line_templates,
@@ -98,6 +99,10 @@ def op11_prefix_free_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_count_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -112,5 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_url_rule_filter,
         op10_square_sum_packing,
         op11_prefix_free_parse,
+        op12_count_automata,
     )
 }
