@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 LENGTH, TRIGGER = 50, 24
 
 #: Bytes of text in a shard, on average, and bytes that are parsed at once.
-SHARD, CHUNK = 8 << 20, 1 << 20
+SHARD, CHUNK = 4 << 20, 1 << 18
 
 #: A trigger that more phrases than this have, counted by shard, is sent string by string.
 MANY = 20_000
