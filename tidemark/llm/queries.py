@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     chunk_dedup,
     collocations,
+    conversations,
     curves,
     jaccard,
     line_templates,
@@ -103,6 +104,10 @@ def op12_count_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_shared_suffix_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit_damage(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -118,5 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_square_sum_packing,
         op11_prefix_free_parse,
         op12_count_automata,
+        op13_shared_suffix_repair,
     )
 }
