@@ -45,7 +45,7 @@ MOST_SENT = 10_000
 UNKNOWN_LANG = "und"
 
 #: Bytes of text that are counted together, and of a prefix range, on average.
-SHARD, RANGE = 8 << 20, 16 << 20
+SHARD, RANGE = 4 << 20, 4 << 20
 
 #: Sequences sampled for each split point.
 SAMPLED = 40
