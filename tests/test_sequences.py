@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 
 import helpers as h
@@ -6,7 +7,7 @@ from helpers import frame, random_log, rows_of
 from pyspark.sql import functions as F
 
 from tidemark import operators as op
-from tidemark.operators import caps
+from tidemark.operators import caps, skew
 
 SECOND = timedelta(seconds=1)
 LOG = "user string, state string, ts timestamp, seq bigint"
@@ -241,3 +242,69 @@ def test_a_success_up_to_the_horizon_discards_a_burst(spark, at, cancelled, slic
     got = op.fail_burst(frame(spark, rows, LOG), ["user"], F.col("state") == "fail", 2 * SECOND, rows_per_task=slices)
     want = [("a", 10, 11, 2)] if cancelled else [("a", 0, 1, 2), ("a", 10, 11, 2)]
     assert rows_of(got) == want
+
+
+@pytest.mark.parametrize("horizon", [0, 1, 7, 1000])
+def test_runs_through_many_slices(spark, horizon):
+    """Fails of one key, mostly without a gap or a success, in slices of a few rows."""
+    rng = random.Random(horizon)
+    times = sorted(rng.randrange(400) for _ in range(500))
+    rows = [("hot", "ok" if rng.random() < 0.01 else "fail", ts, seq) for seq, ts in enumerate(times)]
+    rows += [(None, "fail", ts, 1000 + ts) for ts in range(0, 300, 2)] + [("b", "fail", 5, 2000), ("b", "fail", 5, 2001)]
+    got = op.fail_burst(frame(spark, rows, LOG), ["user"], fail(), horizon * SECOND, rows_per_task=20)
+    assert rows_of(got) == h.bursts(rows, horizon, 2)
+
+
+def test_an_endless_run_is_spread_over_tasks(spark):
+    """A run of a million fails of one key, far above the rows a task may have."""
+    n, horizon, limit = 1_000_000, 2_000_000, 100_000
+    step = F.xxhash64("id") % 5_000
+    rows = spark.range(n).select(
+        F.lit("k").alias("user"),
+        F.lit("fail").alias("state"),
+        F.timestamp_micros(F.col("id") * 10_000 + F.abs(step)).alias("ts"),
+        F.col("id").alias("seq"),
+    )
+    sliced, split = skew.slice_keys(rows.withColumn("_us", F.unix_micros("ts")), ["user"], limit)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert split and len(sizes) >= n // limit and max(sizes) <= 2 * limit
+    got = op.fail_burst(rows, ["user"], fail(), timedelta(microseconds=horizon), rows_per_task=limit)
+    us = rows.select(F.unix_micros("ts").alias("us")).toPandas()["us"].sort_values().to_numpy()
+    want, at = [], 0
+    while at < n:
+        end = int(us.searchsorted(us[at] + horizon, "right"))
+        want.append((int(us[at]), int(us[end - 1]), end - at))
+        at = end
+    found = got.select(F.unix_micros("first_ts"), F.unix_micros("last_ts"), "cnt").collect()
+    assert sorted(map(tuple, found)) == [w for w in want if w[2] > 1]
+
+
+def test_slices_of_a_busy_hour(spark):
+    """Nine rows in ten lie in one hour of a year; slices still hold about as many rows each."""
+    n, limit = 200_000, 20_000
+    busy = F.when(F.col("id") % 10 > 0, F.col("id") * 16_000).otherwise(F.col("id") * 150_000_000)
+    rows = spark.range(n).select((F.col("id") % 2).alias("k"), busy.alias("_us")).where("k = 0 OR _us < 1000000000")
+    sliced, split = skew.slice_keys(rows, ["k"], limit)
+    counts = sliced.groupBy("k", "_slice").agg(F.count("*").alias("n"), F.min("_us").alias("a"), F.max("_us").alias("b"))
+    found = counts.orderBy("k", "a").collect()
+    assert split and max(r.n for r in found) <= 2 * limit
+    for r, later in zip(found, found[1:]):
+        assert r.k != later.k or (r.b < later.a and r._slice < later._slice)
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    """Rows of 10 kB in forced slices: what crosses a slice is fetched by a shuffled join."""
+    rng = random.Random(6)
+    left = [("k", rng.randrange(300), seq) for seq in range(250)]
+    right = [("k", rng.randrange(300), seq) for seq in range(250)]
+    pad = F.concat(F.col("seq").cast("string"), F.repeat(F.lit("x"), 10_000)).alias("pad")
+    sides = [frame(spark, rows, SIDE).select("*", pad) for rows in (left, right)]
+    got = op.reconcile(*sides, "key", 2 * SECOND, rows_per_task=20)
+    found = got.select("key", "kind", "left.seq", "right.seq", F.length("left.pad"), F.length("right.pad")).collect()
+    want = h.reconciled(left, right, 2)
+    assert h.ordered(tuple(r)[:4] for r in found) == want
+    assert all((r[2] is None) == (r[4] is None) and (r[3] is None) == (r[5] is None) for r in found)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")
+    for sent in plan[1:]:
+        # The output of what is broadcast: the projection right below it.
+        assert "left#" not in sent.split("\n")[1] and "right#" not in sent.split("\n")[1]

@@ -45,7 +45,7 @@ def reconcile(
     )
     keys, order = [key], ["_us", "_side", "_seq"]
     sliced, split = slice_keys(sides, keys, rows_per_task)
-    linked = with_previous(sliced, keys, order, ["_us", "_side", "left", "right"], split)
+    linked = with_previous(sliced, keys, order, ["_us", "_side"], split)
 
     # A chain is a run of alternating sides without a long gap.  Its rows pair up from
     # its first row on, so a row takes the one before iff its side is not the first's.
@@ -59,10 +59,16 @@ def reconcile(
     )
     in_slice = Window.partitionBy(key, SLICE).orderBy(*order)
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chains = chains.withColumn("_start", latest(F.col("_opens")).over(so_far))
+    chains = chains.withColumns(
+        {
+            "_start": latest(F.col("_opens")).over(so_far),
+            "_before": F.lag(F.struct("left", "right")).over(in_slice),
+        }
+    )
     if split:
         chains = join_small(chains, _across(chains, keys, order), [key, SLICE])
         chains = chains.withColumn("_start", F.coalesce("_start", "_start_before"))
+        chains = _with_rows_before_slices(chains, sliced, key, order, in_slice)
     takes = F.col("_opens").isNull() & (F.col("_side") != F.col("_start"))
     paired = chains.withColumn("_takes", takes)
     taken = F.lead("_takes").over(in_slice)
@@ -74,11 +80,31 @@ def reconcile(
     return paired.where(~F.col("_taken")).select(
         key,
         F.when(F.col("_takes"), "matched").otherwise(alone).alias("kind"),
-        F.coalesce("left", F.when(F.col("_takes"), F.col("_prev.left"))).alias("left"),
-        F.coalesce("right", F.when(F.col("_takes"), F.col("_prev.right"))).alias("right"),
+        F.coalesce("left", F.when(F.col("_takes"), F.col("_before.left"))).alias("left"),
+        F.coalesce("right", F.when(F.col("_takes"), F.col("_before.right"))).alias("right"),
     )
 
 
+def _with_rows_before_slices(chains, sliced, key, order, in_slice):
+    """Give the first row of a slice the last row of the slice before, as ``_before``.
+
+    Whole rows may be of any size, so they are not broadcast: one per slice is sent to the
+    task of the next slice, by the partitioning that ``chains`` has already.
+    """
+    lasts = sliced.where(F.col(SLICE).isNotNull()).groupBy(key, SLICE)
+    lasts = lasts.agg(F.max_by(F.struct("left", "right"), F.struct(*order)).alias("_last"))
+    by_slice = Window.partitionBy(key).orderBy(SLICE)
+    sent = lasts.select(
+        F.col(key).alias("_to_key"), F.lead(SLICE).over(by_slice).alias("_to_slice"), "_last"
+    ).where("_to_slice IS NOT NULL")
+    placed = chains.withColumn("_place", F.row_number().over(in_slice))
+    # A NULL key matches nothing, so plain equality will do; the first row of a slice asks.
+    same = (F.col(key) == F.col("_to_key")) & (F.col(SLICE) == F.col("_to_slice"))
+    joined = placed.join(sent.hint("merge"), same & (F.col("_place") == 1), "left")
+    joined = joined.drop("_to_key", "_to_slice")
+    return joined.withColumn("_before", F.coalesce("_before", "_last")).drop("_last", "_place")
+
+
 def _side(df, key, ts, seq, side):
     return df.select(
         key,

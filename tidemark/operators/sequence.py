@@ -17,14 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions import epoch_us, from_epoch_us, to_us
+from tidemark.operators.long_runs import sliced_bursts
 from tidemark.operators.skew import (
     ROWS_PER_TASK,
     SLICE,
-    join_small,
     latest,
     slice_keys,
-    slices_before,
-    summarise,
     with_next_value,
     with_previous,
 )
@@ -139,6 +137,7 @@ def fail_burst(
     plain aggregate made where the rows already are.  What goes on to the second shuffle
     are bursts and the fails beyond them, which need an unbroken run of fails longer than
     ``horizon``; those are walked in order, in Arrow batches and with constant memory.
+    An island of a heavy key may reach through many slices; see ``long_runs``.
     """
     if df.isStreaming:
         return patterns.fail_burst(df, keys, is_fail, horizon, min_count, ts, seq)
@@ -155,27 +154,16 @@ def fail_burst(
     linked = with_next_value(linked, keys, ORDER, "_other", split, "_ends")
     gap = F.col("_us") - F.col("_prev._us")
     continues = F.coalesce(F.col("_prev._fail") & (gap <= F.lit(horizon_us)), F.lit(False))
-    fails = linked.where("_fail").select(
-        *keys, SLICE, *ORDER, "_ends", F.when(~continues, F.struct(*ORDER)).alias("_head")
-    )
+    heads = F.when(~continues, F.struct(*ORDER)).alias("_head")
+    fails = linked.where("_fail").select(*keys, SLICE, *ORDER, "_ends", heads)
+    whole = fails.where(F.col(SLICE).isNull()) if split else fails
 
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*ORDER)
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    islands = fails.withColumn("_island", latest(F.col("_head")).over(so_far))
-    edge = F.lit(False)
-    if split:
-        heads = summarise(fails, keys, F.max("_head").alias("_last"))
-        before = latest(F.col("_last")).over(slices_before(keys))
-        carry = heads.select(*keys, SLICE, "_last", before.alias("_before"))
-        islands = join_small(islands, carry, [*keys, SLICE])
-        islands = islands.withColumn("_island", F.coalesce("_island", "_before"))
-        # Only the islands at the ends of a slice can reach into another one.
-        edge = F.col("_island").eqNullSafe(F.col("_last")) | F.col("_island").eqNullSafe(
-            F.col("_before")
-        )
+    islands = whole.withColumn("_island", latest(F.col("_head")).over(so_far))
 
-    # The first burst of an island becomes one row (in a heavy key one per slice) where
-    # the rows already are; fails beyond it stay rows of their own.
+    # The first burst of an island becomes one row where the rows already are; fails beyond
+    # it stay rows of their own.
     in_first = F.col("_us") <= F.col("_island._us") + F.lit(horizon_us)
     parts = (
         islands.groupBy(*keys, SLICE, "_island", F.when(~in_first, F.struct(*ORDER)).alias("_own"))
@@ -184,9 +172,8 @@ def fail_burst(
             F.max("_us").alias("_to"),
             F.min("_ends").alias("_ends"),
             F.count(F.lit(1)).alias("cnt"),
-            F.max(edge).alias("_edge"),
         )
-        .where(F.col("_own").isNotNull() | F.col("_edge") | (F.col("cnt") >= min_count))
+        .where(F.col("_own").isNotNull() | (F.col("cnt") >= min_count))
     )
     in_island = Window.partitionBy(*keys, "_island").orderBy("_from", "_own")
     numbered = parts.select(
@@ -196,11 +183,14 @@ def fail_burst(
         [rows.schema[k] for k in keys]
         + [StructField(name, LongType()) for name in ("_from", "_to", "_ends", "cnt")]
     )
+    bursts = numbered.mapInArrow(_burst_walker(keys, horizon_us), schema)
+    if split:
+        opened = fails.where(F.col(SLICE).isNotNull()).withColumn("_opens", F.col("_head").isNotNull())
+        bursts = bursts.unionByName(sliced_bursts(opened.drop("_head"), keys, horizon_us))
     kind = df.schema[ts].dataType
     cancelled = F.coalesce(F.col("_ends") <= F.col("_from") + F.lit(horizon_us), F.lit(False))
     return (
-        numbered.mapInArrow(_burst_walker(keys, horizon_us), schema)
-        .where((F.col("cnt") >= min_count) & ~cancelled)
+        bursts.where((F.col("cnt") >= min_count) & ~cancelled)
         .select(
             *keys,
             from_epoch_us(F.col("_from"), kind).alias("first_ts"),
