@@ -91,6 +91,7 @@ def lifecycle_status(
     ts: str = "ts",
     seq: str = "seq",
     wait: timedelta | None = None,
+    keep: timedelta = timedelta(days=30),
 ) -> DataFrame:
     """Exactly one ``status`` per key: ``paid``, ``timeout`` or ``no_create``.
 
@@ -101,14 +102,15 @@ def lifecycle_status(
 
     With a ``wait`` only the rows less than that after the first row of a key count.  A
     stream needs one: then it stops waiting for a ``first`` row, and keeps a mark of the
-    key so that rows that come later change nothing.
+    key so that rows that come later change nothing.  The mark goes ``keep`` after the
+    ``wait``; a row that comes later still begins the key anew.
     """
     if wait is not None and wait < deadline:
         raise ValueError("wait must not be shorter than the deadline")
     if df.isStreaming:
         if wait is None:
             raise ValueError("a streaming lifecycle_status needs a wait")
-        return patterns.lifecycle_status(df, keys, first, then, deadline, wait, ts, seq)
+        return patterns.lifecycle_status(df, keys, first, then, deadline, wait, keep, ts, seq)
     us = epoch_us(F.col(ts))
     per_key = (
         df.where(first | then)

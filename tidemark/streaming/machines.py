@@ -90,11 +90,13 @@ class Lifecycle:
     """One status per key, of the rows less than ``wait`` after its first one.
 
     Tag bit 1 is the first kind of row, bit 2 the second.  Of a key that is over only a mark
-    stays, so that a later row gives no second status.
+    stays, so that a later row gives no second status; it goes ``keep`` after the ``wait`` has
+    ended, so the state does not grow with the number of keys there ever were.
     """
 
     deadline: int
     wait: int
+    keep: int
 
     def step(self, memory, us, tag, body):
         if "over" in memory:
@@ -109,6 +111,8 @@ class Lifecycle:
             yield from self._status(memory, "paid")
 
     def advance(self, memory, now):
+        if "over" in memory and now >= memory["over"]:
+            memory.clear()
         if not memory or "over" in memory:
             return
         if now >= memory["since"] + self.wait:
@@ -119,13 +123,16 @@ class Lifecycle:
     def _status(self, memory, status):
         pay = None if status == "timeout" else memory.get("pay")
         out = {"_a": memory.get("create"), "_b": pay, "_kind": status}
+        over = memory["since"] + self.wait + self.keep
         memory.clear()
-        memory["over"] = True
+        memory["over"] = over
         yield out
 
     def due(self, memory):
-        if not memory or "over" in memory:
+        if not memory:
             return None
+        if "over" in memory:
+            return memory["over"]
         forget = memory["since"] + self.wait
         return min(forget, memory["create"] + self.deadline) if "create" in memory else forget
 

@@ -13,14 +13,22 @@ from tidemark.functions import from_epoch_us, to_us
 from tidemark.streaming import machines
 from tidemark.streaming.replay import replay
 
-JSON_TIMES = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    # What can't be read back must stop the query, not turn NULL.
-    "mode": "FAILFAST",
-}
+def _packed(df, columns):
+    """The columns as one struct, its times in microseconds, so that they keep every digit."""
+    kinds = {c: df.schema[c].dataType.typeName() for c in columns}
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias(c)
+    return F.struct(*[micros(c) if kinds[c] in TIMES else F.col(c) for c in columns])
 
-WRITE_TIMES = {k: v for k, v in JSON_TIMES.items() if k != "mode"}
+
+def _unpacked(df, columns, struct):
+    """The columns of a packed struct."""
+    return [
+        (from_epoch_us(F.col(f"{struct}.`{c}`"), df.schema[c].dataType) if df.schema[c].dataType.typeName() in TIMES else F.col(f"{struct}.`{c}`")).alias(c)
+        for c in columns
+    ]
+
+
+TIMES = ("timestamp", "timestamp_ntz")
 
 
 def _flag(condition, value):
@@ -60,10 +68,10 @@ def followed_by(df, keys, first, then, within, ts, seq):
     )
 
 
-def lifecycle_status(df, keys, first, then, deadline, wait, ts, seq):
+def lifecycle_status(df, keys, first, then, deadline, wait, keep, ts, seq):
     rows = df.where(first | then)
     tag = _flag(first, 1) + _flag(then, 2)
-    machine = machines.Lifecycle(to_us(deadline), to_us(wait))
+    machine = machines.Lifecycle(to_us(deadline), to_us(wait), to_us(keep))
     found = replay(rows, keys, machine, ts, seq, tag)
     return found.select(
         *keys,
@@ -76,32 +84,29 @@ def lifecycle_status(df, keys, first, then, deadline, wait, ts, seq):
 def click_cap(df, keys, passes, period, ts, seq):
     """The rows keep their event time, so windows can follow."""
     others = [c for c in df.columns if c not in (*keys, ts)]
-    body = F.to_json(F.struct(*others), WRITE_TIMES)
     machine = machines.Cap(passes, to_us(period))
-    found = replay(df, keys, machine, ts, seq, F.lit(0), body, event_time="_ts")
-    schema = df.select(*others).schema
-    opened = found.withColumnRenamed("_ts", ts).withColumn(
-        "_row", F.from_json("_left", schema, JSON_TIMES)
-    )
-    return opened.select(
-        *[F.col(c) if c in (*keys, ts) else F.col(f"_row.{c}").alias(c) for c in df.columns],
-        F.col("_kind").alias("kind"),
-    )
+    found = replay(df, keys, machine, ts, seq, F.lit(0), _packed(df, others), event_time="_ts")
+    rows = dict(zip(others, _unpacked(df, others, "_left"), strict=True))
+    opened = found.withColumnRenamed("_ts", ts)
+    return opened.select(*[rows.get(c, F.col(c)) for c in df.columns], F.col("_kind").alias("kind"))
 
 
 def reconcile(left, right, key, tolerance, ts, seq):
-    def side(df, tag):
-        body = F.to_json(F.struct(*df.columns), WRITE_TIMES)
+    def side(df, tag, name, other):
         # A NULL key matches nothing: such rows of the two sides never meet.
         apart = F.when(F.col(key).isNull(), tag).alias("_apart")
-        return df.select(key, apart, ts, seq, F.lit(tag).alias("_side"), body.alias("_text"))
+        none = F.lit(None).cast(other.select(_packed(other, other.columns).alias("s")).schema["s"].dataType)
+        sides = {name: _packed(df, df.columns), "left" if name == "right" else "right": none}
+        row = F.struct(sides["left"].alias("left"), sides["right"].alias("right"))
+        return df.select(key, apart, ts, seq, F.lit(tag).alias("_side"), row.alias("_row"))
 
-    both = side(left, 0).unionByName(side(right, 1))
+    both = side(left, 0, "left", right).unionByName(side(right, 1, "right", left))
     machine = machines.Reconcile(to_us(tolerance))
-    found = replay(both, [key, "_apart"], machine, ts, seq, F.col("_side"), F.col("_text"))
-    return found.select(
-        key,
-        F.col("_kind").alias("kind"),
-        F.from_json("_left", left.schema, JSON_TIMES).alias("left"),
-        F.from_json("_right", right.schema, JSON_TIMES).alias("right"),
-    )
+    found = replay(both, [key, "_apart"], machine, ts, seq, F.col("_side"), F.col("_row"))
+
+    def whole(df, name):
+        packed = f"_{name}.{name}"
+        row = F.struct(*_unpacked(df, df.columns, packed))
+        return F.when(F.col(packed).isNotNull(), row).alias(name)
+
+    return found.select(key, F.col("_kind").alias("kind"), whole(left, "left"), whole(right, "right"))

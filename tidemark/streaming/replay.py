@@ -9,64 +9,77 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
+
+from tidemark.streaming.waiting import Waiting, plain
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-WAITING = "us bigint, seq {seq}, tag int, body string"
 MEMORY = "memory string"
-OUTPUT = "_ts timestamp, _a bigint, _b bigint, _n bigint, _kind string, _left string, _right string"
-COLUMNS = [part.split()[0] for part in OUTPUT.split(", ")]
+VALUES = ["_a", "_b", "_n"]
+COLUMNS = ["_ts", *VALUES, "_kind", "_left", "_right"]
+
+
+def output(body: StructType) -> list[StructField]:
+    """The columns of a machine's output; whole rows are typed as they are waiting."""
+    return [
+        StructField("_ts", TimestampType()),
+        *[StructField(name, LongType()) for name in VALUES],
+        StructField("_kind", StringType()),
+        StructField("_left", body),
+        StructField("_right", body),
+    ]
 
 
 class OrderedReplay(StatefulProcessor):
     """Feeds the rows of a key to a machine in ``(time, seq)`` order.
 
-    Rows wait in list state until the watermark has reached them, so rows that arrive out
+    Rows wait in time buckets until the watermark has reached them, so rows that arrive out
     of order are put right and a row later than the watermark, which Spark drops, could
     not have changed anything.  One event-time timer per key wakes it up for the next
-    waiting row or the next deadline.
+    waiting row or the next deadline.  What a machine remembers is text, but for a whole row
+    (``body``), which is kept as it is.
     """
 
-    def __init__(self, machine, keys: list[str], seq_type: str = "bigint"):
+    def __init__(self, machine, keys: list[str], row: StructType):
         self.machine = machine
         self.keys = keys
-        self.seq_type = seq_type
+        self.row = row
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING.format(seq=self.seq_type))
+        self.waiting = Waiting(handle, self.row)
         self.memory = handle.getValueState("memory", MEMORY)
+        self.held = handle.getValueState("held", StructType([self.row["body"]]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        arrived = [(r["_us"], r["_seq"], r["_tag"], r["_body"]) for r in rows]
-        self.waiting.appendList(arrived)
-        self._wake(min(us for us, *_ in arrived))
+        self._wake(self.waiting.add((r["_us"], r["_seq"], r["_tag"], r["_body"]) for r in rows))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(self.waiting.get(), key=self._order) if self.waiting.exists() else []
-        ready = [row for row in held if row[0] <= now]
-        kept = held[len(ready) :]
         stored = self.memory.get()
         memory = json.loads(stored[0]) if stored else {}
+        if memory.pop("holds", False):
+            memory["body"] = plain(self.held.get()[0])
 
         out = []
-        for us, _, tag, body in ready:
-            out.extend(self.machine.advance(memory, us))
-            out.extend(self.machine.step(memory, us, tag, body))
+        for ready in self.waiting.due(now):
+            for us, _, tag, body in sorted(ready, key=self._order):
+                out.extend(self.machine.advance(memory, us))
+                out.extend(self.machine.step(memory, us, tag, body))
         out.extend(self.machine.advance(memory, now))
 
-        if kept and ready:
-            self.waiting.put(kept)
-        elif ready:
-            self.waiting.clear()
+        wake = [us for us in (self.waiting.first(), self.machine.due(memory)) if us is not None]
+        if "body" in memory:
+            self.held.update((memory.pop("body"),))
+            memory["holds"] = True
+        elif self.held.exists():
+            self.held.clear()
         if memory:
             self.memory.update((json.dumps(memory),))
         elif stored:
             self.memory.clear()
-        wake = [us for us in (kept[0][0] if kept else None, self.machine.due(memory)) if us]
         if wake:
             self._wake(min(wake))
         for values in out:
@@ -99,19 +112,30 @@ def replay(
     body: Column | None = None,
     event_time: str = "",
 ) -> DataFrame:
-    """The machine's output for every key of a watermarked stream, with the columns of ``OUTPUT``."""
-    text = F.lit(None).cast("string") if body is None else body
+    """The machine's output for every key of a watermarked stream, with ``COLUMNS``.
+
+    ``body`` is a struct that comes back in ``_left`` or ``_right``.
+    """
     # Positions in files are text; everything else orders as a number.
-    seq_type = "string" if rows.schema[seq].dataType == StringType() else "bigint"
+    seq_type = StringType() if rows.schema[seq].dataType == StringType() else LongType()
     fed = rows.select(
         *keys,
         F.col(ts),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
         F.col(seq).cast(seq_type).alias("_seq"),
         tag.cast("int").alias("_tag"),
-        text.alias("_body"),
+        (F.lit(None).cast("struct<none: int>") if body is None else body).alias("_body"),
+    )
+    body_type = fed.schema["_body"].dataType
+    waiting = StructType(
+        [
+            StructField("us", LongType()),
+            StructField("seq", seq_type),
+            StructField("tag", IntegerType()),
+            StructField("body", body_type),
+        ]
     )
-    schema = StructType([rows.schema[k] for k in keys] + StructType.fromDDL(OUTPUT).fields)
+    schema = StructType([rows.schema[k] for k in keys] + output(body_type))
     return fed.groupBy(*keys).transformWithState(
-        OrderedReplay(machine, keys, seq_type), schema, "append", "EventTime", eventTimeColumnName=event_time
+        OrderedReplay(machine, keys, waiting), schema, "append", "EventTime", eventTimeColumnName=event_time
     )
