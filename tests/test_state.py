@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.streaming import machines
+from tidemark.streaming.panes import Ring
 from tidemark.streaming.waiting import BUCKET, Waiting
 
 
@@ -94,3 +97,30 @@ def test_marks_of_ended_keys_go():
     assert run(machine, [(0, 1), (3, 2), (60, 1)], 400)[0] == [(3, "paid")]
     assert run(machine, [(0, 1), (130, 1)], 400) == ([(5, "timeout"), (135, "timeout")], {})
     assert run(machine, [(0, 2)], 400) == ([(20, "no_create")], {})
+
+
+@pytest.mark.parametrize("ratio", [1, 6, 720])
+def test_ring_of_panes(ratio):
+    """The last count of every window is the batch's, whatever comes late and early."""
+    rng = random.Random(ratio)
+    slide, size, out, rows = 5, 5 * ratio, {}, []
+    ring, now = Ring(size, slide), -10**9
+    for _ in range(60):
+        times = [max(now + 1, rng.randrange(4000)) for _ in range(rng.randrange(1, 30))]
+        rows += times
+        panes, counts = np.unique([t - t % slide for t in times], return_counts=True)
+        given = list(zip(*ring.add(panes, counts)))
+        assert all(end <= max(rows) - max(rows) % slide + slide for end, _ in given)
+        out.update(given)
+        if rng.random() < 0.2:
+            now = max(now, max(rows) - rng.randrange(400))
+            out.update(zip(*ring.advance(now)))
+        assert len(ring.panes) <= (max(rows) - max(now, min(rows)) + size) // slide + 2
+    while (due := ring.due()) is not None:
+        out.update(zip(*ring.advance(due)))
+    want = {}
+    for t in rows:
+        for end in range(t - t % slide + slide, t - t % slide + size + 1, slide):
+            want[end] = want.get(end, 0) + 1
+    assert {int(k): int(v) for k, v in out.items()} == want
+    assert not len(ring.panes)

@@ -1,10 +1,11 @@
+import tempfile
 from datetime import timedelta
 
 import helpers as h
 import pytest
 from helpers import frame, random_log, rows_of
 from pyspark.sql import functions as F
-from streams import as_stream, drain, drained
+from streams import FAR, as_stream, drain, drained
 
 from tidemark import operators as op
 
@@ -232,3 +233,37 @@ def test_late_rows_update_the_counts_of_many_windows(spark):
     every = h.sliding_counts([("x", ts) for ts in (0, 30, 28, 60, 1)], 26, 2)
     want = {end: every[k, end] if end > 25 else n for (k, end), n in on_time.items()}
     assert dict(rows_of(last)) == want
+
+
+def test_sliding_updates_at_a_ratio_of_720(spark):
+    rows = random_log(8, n=80, span=5000)
+    df = stream(spark, rows, delay=5)
+    got = op.window_count_updates(df, ["user"], 3600 * SECOND, 5 * SECOND)
+    last = drain(spark, got, "update").groupBy("user", "window_end").agg(F.max("cnt").alias("cnt"))
+    batch = op.window_count(frame(spark, rows, LOG), ["user"], 3600 * SECOND, 5 * SECOND)
+    assert real(rows_of(last)) == rows_of(batch)
+
+
+@pytest.mark.parametrize("delay", [UNORDERED, 3])
+def test_running_visitors_row_by_row(spark, delay):
+    rows = random_log(9, n=150, span=300, users=("hot", "b", "c", None, "d", "e"))
+    got = op.running_distinct(stream(spark, rows, delay=delay), "user", 100 * SECOND)
+    assert [r for r in drained(spark, got, "seq", "window_end", "uv", "is_new") if r[0] < 10**9] == h.running(rows, 100)
+
+
+def test_running_visitors_after_a_restart(spark):
+    """One file per run of the query, each from the checkpoint of the run before."""
+    rows = sorted(random_log(10, n=90, span=200), key=by_time)
+    path, checkpoint, out = (tempfile.mkdtemp(prefix=p) for p in ("stream-", "checkpoint-", "out-"))
+    chunks = [rows[:30], rows[30:60], rows[60:], [sentinel("end")(FAR)], [sentinel("end")(FAR + 1)]]
+    for number, chunk in enumerate(chunks):
+        frame(spark, chunk, LOG).coalesce(1).write.parquet(f"{path}/{number}")
+        live = spark.readStream.schema(frame(spark, [], LOG).schema).parquet(f"{path}/*")
+        got = op.running_distinct(op.with_event_time(live, "ts", 2 * SECOND), "user", 100 * SECOND)
+        query = (
+            got.writeStream.format("parquet").option("path", f"{out}/rows")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination(300)
+    found = rows_of(spark.read.parquet(f"{out}/rows"), "seq", "window_end", "uv", "is_new")
+    assert [r for r in found if r[0] < 10**9] == h.running(rows, 100)

@@ -15,7 +15,7 @@ from tidemark.operators.sequence import (
     strict_sequence,
 )
 from tidemark.operators.topn import top_n
-from tidemark.operators.windows import window_count, with_event_time
+from tidemark.operators.windows import window_count, window_count_updates, with_event_time
 
 __all__ = [
     "click_cap",
@@ -32,6 +32,7 @@ __all__ = [
     "top_n",
     "window_approx_distinct",
     "window_count",
+    "window_count_updates",
     "window_distinct",
     "with_event_time",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import as_duration, epoch_us, floor_us, from_epoch_us, to_us
+from tidemark.streaming import visitors
 
 # Slots a window is cut into for the running count; each is one task group.
 SLOTS_PER_WINDOW = 1440
@@ -55,7 +56,11 @@ def running_distinct(
     an aggregate, a window is cut into time ``slots``, and a slot starts from the
     number of first rows before it.  First rows and starting numbers join the events as
     marker rows, so the events are shuffled once.
+
+    A stream gives a row once the watermark has passed it, with the same numbers.
     """
+    if df.isStreaming:
+        return visitors.running_distinct(df, col, to_us(size), ts, seq)
     size_us = to_us(size)
     step = timedelta(microseconds=max(1, -(-size_us // slots)))
     step_us = to_us(step)

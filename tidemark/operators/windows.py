@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import as_duration, epoch_us, floor_us, from_epoch_us, to_us
+from tidemark.streaming import panes as stream_panes
 
 # Window ends per task group when the running count of a sliding window is split by time.
 ENDS_PER_CHUNK = 4096
@@ -49,6 +50,24 @@ def window_count(
     return _sliding_count(df, keys, size, slide, ts, out)
 
 
+def window_count_updates(
+    df: DataFrame, keys: list[str], size: timedelta, slide: timedelta, ts: str = "ts", out: str = "cnt"
+) -> DataFrame:
+    """Early and refined sliding counts of a stream, for update mode: ``keys, window_end, out``.
+
+    A micro-batch gives the counts of every window that its rows change, up to the window of
+    the latest row of the key; the windows behind it come as they are reached or as the
+    watermark closes them.  The last row of a window is that of ``window_count``.  A key has
+    one state entry, the counts of the panes of one ``slide`` that an open window covers, so
+    neither state nor work grows with ``size / slide`` windows per row.
+    """
+    if to_us(size) % to_us(slide):
+        raise ValueError("size must be a multiple of slide")
+    found = stream_panes.window_count_updates(df, keys, to_us(size), to_us(slide), ts, out)
+    end = from_epoch_us(F.col("_end"), df.schema[ts].dataType)
+    return found.select(*keys, end.alias("window_end"), out)
+
+
 def _direct_count(df, keys, size, slide, ts, out):
     window = F.window(ts, as_duration(size), as_duration(slide)).alias("w")
     counts = df.groupBy(*keys, window).agg(F.count(F.lit(1)).alias(out))

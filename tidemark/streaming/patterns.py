@@ -13,14 +13,14 @@ from tidemark.functions import from_epoch_us, to_us
 from tidemark.streaming import machines
 from tidemark.streaming.replay import replay
 
-def _packed(df, columns):
+def packed(df, columns):
     """The columns as one struct, its times in microseconds, so that they keep every digit."""
     kinds = {c: df.schema[c].dataType.typeName() for c in columns}
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias(c)
     return F.struct(*[micros(c) if kinds[c] in TIMES else F.col(c) for c in columns])
 
 
-def _unpacked(df, columns, struct):
+def unpacked(df, columns, struct):
     """The columns of a packed struct."""
     return [
         (from_epoch_us(F.col(f"{struct}.`{c}`"), df.schema[c].dataType) if df.schema[c].dataType.typeName() in TIMES else F.col(f"{struct}.`{c}`")).alias(c)
@@ -85,8 +85,8 @@ def click_cap(df, keys, passes, period, ts, seq):
     """The rows keep their event time, so windows can follow."""
     others = [c for c in df.columns if c not in (*keys, ts)]
     machine = machines.Cap(passes, to_us(period))
-    found = replay(df, keys, machine, ts, seq, F.lit(0), _packed(df, others), event_time="_ts")
-    rows = dict(zip(others, _unpacked(df, others, "_left"), strict=True))
+    found = replay(df, keys, machine, ts, seq, F.lit(0), packed(df, others), event_time="_ts")
+    rows = dict(zip(others, unpacked(df, others, "_left"), strict=True))
     opened = found.withColumnRenamed("_ts", ts)
     return opened.select(*[rows.get(c, F.col(c)) for c in df.columns], F.col("_kind").alias("kind"))
 
@@ -95,8 +95,8 @@ def reconcile(left, right, key, tolerance, ts, seq):
     def side(df, tag, name, other):
         # A NULL key matches nothing: such rows of the two sides never meet.
         apart = F.when(F.col(key).isNull(), tag).alias("_apart")
-        none = F.lit(None).cast(other.select(_packed(other, other.columns).alias("s")).schema["s"].dataType)
-        sides = {name: _packed(df, df.columns), "left" if name == "right" else "right": none}
+        none = F.lit(None).cast(other.select(packed(other, other.columns).alias("s")).schema["s"].dataType)
+        sides = {name: packed(df, df.columns), "left" if name == "right" else "right": none}
         row = F.struct(sides["left"].alias("left"), sides["right"].alias("right"))
         return df.select(key, apart, ts, seq, F.lit(tag).alias("_side"), row.alias("_row"))
 
@@ -106,7 +106,7 @@ def reconcile(left, right, key, tolerance, ts, seq):
 
     def whole(df, name):
         packed = f"_{name}.{name}"
-        row = F.struct(*_unpacked(df, df.columns, packed))
+        row = F.struct(*unpacked(df, df.columns, packed))
         return F.when(F.col(packed).isNotNull(), row).alias(name)
 
     return found.select(key, F.col("_kind").alias("kind"), whole(left, "left"), whole(right, "right"))
