@@ -192,6 +192,21 @@ def approx_unique_visitors_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.col("w.end").alias("window_end"), "exact", within.alias("in_bound"))
 
 
+def sketched_daily_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily visitors from sketches of every hour, and whether they are within the bound."""
+    seen = views(spark, sf_dir)
+    days = op.sketched_counts(op.roll_up(op.window_sketches(seen, "user_id", HOUR), DAY), "estimate")
+    exact = op.window_distinct(seen, "user_id", DAY)
+    near = F.abs(F.col("estimate") - F.col("uv")) <= F.lit(0.05) * F.col("uv")
+    return exact.join(days, "window_end", "left").select("window_end", "uv", F.coalesce(near, F.lit(False)).alias("within"))
+
+
+def event_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, mean and variance of the value of every kind of event, by an own accumulator."""
+    found = op.aggregate(events(spark, sf_dir), ["event_type"], op.Moments(), ["k"])
+    return found.select("event_type", "n", F.round("mean", 6).alias("mean"), F.round("variance", 3).alias("variance"))
+
+
 def running_unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views(spark, sf_dir).select("seq", "ts", "user_id")
     return op.running_distinct(rows, "user_id", DAY)
@@ -342,6 +357,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         unique_visitors,
         approx_unique_visitors,
         approx_unique_visitors_error,
+        sketched_daily_visitors,
+        event_moments,
         running_unique_visitors,
         click_cap_pass_counts,
         click_cap_warnings,

@@ -199,6 +199,12 @@ ORACLE: dict[str, str] = {
     "reconcile_shipments": RECONCILE_SHIPMENTS,
     "unique_visitors": DAILY_UV.format(out="uv"),
     # The bound is wide enough for every window to be within it.
+    "sketched_daily_visitors": f"SELECT window_end, uv, TRUE AS within FROM ({DAILY_UV.format(out='uv')})",
+    "event_moments": f"""
+      WITH {EVENTS}
+      SELECT event_type, count(k) AS n, round(avg(k), 6) AS mean, round(var_pop(k), 3) AS variance
+      FROM events_k GROUP BY event_type
+    """,
     "approx_unique_visitors_error": f"""
       SELECT window_end, exact, true AS in_bound FROM ({DAILY_UV.format(out="exact")})
     """,
