@@ -38,10 +38,13 @@ from pyspark.sql import functions as F
 LENGTH, TRIGGER = 50, 24
 
 #: Bytes of text in a shard, on average, and bytes that are parsed at once.
-SHARD, CHUNK = 4 << 20, 1 << 18
+SHARD, CHUNK = 2 << 20, 1 << 18
+
+#: Bytes of text that are dealt together.
+DEALT = 16 << 20
 
 #: A trigger that more phrases than this have, counted by shard, is sent string by string.
-MANY = 20_000
+MANY = 2_000
 
 #: Reply kinds: repeated triggers, first documents of phrases, triggers with rivals, such with
 #: many, and places of repeated strings within phrases.
@@ -466,7 +469,7 @@ def shards_of(docs: DataFrame, count: int) -> DataFrame:
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(pc.cast(batch.column(1), pa.binary())), 0).to_numpy()
-            step = max(1, int(batch.num_rows * 2 * SHARD / (sizes.sum() + 1)))
+            step = max(1, int(batch.num_rows * DEALT / (sizes.sum() + 1)))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 valid = part.column(0).is_valid().to_numpy(zero_copy_only=False)
