@@ -18,8 +18,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import spread_lookup
-
 #: A run has at least so many sentences and so many words.
 SENTENCES, WORDS = 3, 12
 
@@ -151,12 +149,14 @@ def repeated_runs(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -
     repeated = (
         found.where(F.col("doc_id").isNotNull())
         .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.max("again").alias("twice"))
+        .where("n > 1 OR twice")
+        .select("h1", "h2", "first")
     )
     other = F.when(F.col("doc_id") != F.col("first"), F.col("first"))
-    later = spread_lookup(found, repeated, ["h1", "h2"], by="doc_id").withColumn("other", other)
+    # Runs are many and each row of a run is small: where one has very many rows, the adaptive
+    # planner deals them over several tasks.
+    later = found.join(repeated, ["h1", "h2"]).withColumn("other", other)
     return (
         later.where(F.col("doc_id").isNotNull() & (F.col("other").isNotNull() | F.col("again")))
         .groupBy("doc_id")
