@@ -240,6 +240,13 @@ def test_repeated_passages(spark, odd_rows):
         assert (got[i].text, got[i].removed, got[i].repeats_of) == (want, len(parts) - sum(stays), sorted(others))
 
 
+def test_runs_from_words_alone_are_those_of_the_cut_texts(odd_rows):
+    texts = [(t or "").encode() for _, t, _ in odd_rows] + [b"no end", b"A b. C d! e", ("x " * 99).encode()]
+    for fast, cut in zip(sentence_spans.hashes_of_both_cuts(texts, 3, 12, sentence_spans.Picks()), sentence_spans.both_cuts(texts, 3, 12), strict=True):
+        rows = [sorted(zip(r.owner.tolist(), r.hashes.tolist(), r.again.tolist(), strict=True)) for r in (fast, cut)]
+        assert rows[0] == rows[1] and rows[0]
+
+
 def test_long_text_without_stops_has_sentences():
     text = " ".join(WORDS[:100]).encode()
     parts = sentence_spans.sentences(text)

@@ -37,8 +37,11 @@ WORD = re.compile(rb"\s*\S+\s*")
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in FACTORS], np.uint64)
 
-#: Documents hashed together.
-TOGETHER = 500
+#: Documents hashed together, at most, and bytes of text, on average of such a part.
+TOGETHER, TOGETHER_BYTES = 500, 4 << 20
+
+#: Words whose picks a task remembers.
+MOST_WORDS = 600_000
 
 
 def sentences(text: bytes) -> list[bytes]:
@@ -82,18 +85,30 @@ class Runs:
     def __init__(self, texts: list[bytes], least: int, words: int, content: bool = False):
         cut = [pieces(text, cut_by_content if content else SOME_WORDS.findall) for text in texts]
         self.parts = [[piece for piece, _ in of_text] for of_text in cut]
-        said = [part.lower().split() for parts in self.parts for part in parts]
-        counts = np.fromiter(map(len, said), np.int64, len(said))
-        self.first = np.concatenate([[0], np.cumsum([len(parts) for parts in self.parts])]).astype(np.int64)
-        owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        digests = b"".join([xxhash.xxh3_128_digest(b" ".join(w)) for w in said])
+        said = [(part.lower().split(), number) for of_text in cut for part, number in of_text]
+        self.find([len(parts) for parts in self.parts], said, least, words, content)
+
+    @classmethod
+    def hashed(cls, sizes: list[int], said: list[tuple[list[bytes], int]], least: int, words: int, content: bool) -> Runs:
+        """Runs of texts of which only the words are at hand."""
+        runs = cls.__new__(cls)
+        runs.find(sizes, said, least, words, content)
+        return runs
+
+    def find(self, sizes: list[int], said: list[tuple[list[bytes], int]], least: int, words: int, content: bool) -> None:
+        """``sizes``: sentences of each text; ``said``: the words of each and the number of the
+        long sentence it is of."""
+        counts = np.fromiter([len(w) for w, _ in said], np.int64, len(said))
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        owner = np.repeat(np.arange(len(sizes)), np.diff(self.first))
+        digests = b"".join([xxhash.xxh3_128_digest(b" ".join(w)) for w, _ in said])
         hashes = np.frombuffer(digests, np.uint64).reshape(-1, 2) * (counts > 0)[:, None].astype(np.uint64)
         # A run ends once both its words and its sentences with words are enough.
         word_sum, filled = (np.concatenate([[0], np.cumsum(x)]) for x in (counts, counts > 0))
         end = np.maximum(np.searchsorted(word_sum, word_sum[:-1] + words), np.searchsorted(filled, filled[:-1] + least))
         runs = (end <= self.first[owner + 1]) & (counts > 0)
         if content:
-            long = np.array([number for of_text in cut for _, number in of_text], np.int64)
+            long = np.array([number for _, number in said], np.int64)
             runs[runs] = (long[runs] > 0) & (long[runs] == long[end[runs] - 1])
         starts = np.flatnonzero(runs)
         self.begin, self.end, self.owner = starts, end[starts], owner[starts]
@@ -111,6 +126,44 @@ class Runs:
         self.again[order[1:][same]] = True
 
 
+class Picks(dict):
+    """Whether a word ends a piece of the second cut, remembered."""
+
+    def __missing__(self, word: bytes) -> bool:
+        if len(self) > MOST_WORDS:
+            self.clear()
+        self[word] = picked = xxhash.xxh32_intdigest(word) % SEVERAL == 0
+        return picked
+
+
+def hashes_of_both_cuts(texts: list[bytes], least: int, words: int, picks: Picks) -> tuple[Runs, Runs]:
+    """The runs of both cuts, of the second those within long sentences, from the words alone:
+    every text is split once."""
+    sizes, said = ([], []), ([], [])
+    for text in texts:
+        before = len(said[0]), len(said[1])
+        for number, part in enumerate(SENTENCE.findall(text.lower()), 1):
+            spoken = part.split()
+            if len(spoken) <= LONGEST:
+                said[0].append((spoken, 0))
+                continue
+            said[0].extend((spoken[k : k + LONGEST], number) for k in range(0, len(spoken), LONGEST))
+            begin = 0
+            for at, picked in enumerate(map(picks.__getitem__, spoken), 1):
+                if picked or at - begin == LONGEST:
+                    said[1].append((spoken[begin:at], number))
+                    begin = at
+            if begin < len(spoken):
+                said[1].append((spoken[begin:], number))
+        said[0].pop()  # the last match is empty
+        for k in range(2):
+            sizes[k].append(len(said[k]) - before[k])
+    return (
+        Runs.hashed(sizes[0], said[0], least, words, False),
+        Runs.hashed(sizes[1], said[1], least, max(words, CONTENT_WORDS), True),
+    )
+
+
 def both_cuts(texts: list[bytes], least: int, words: int) -> tuple[Runs, Runs]:
     return Runs(texts, least, words), Runs(texts, least, max(words, CONTENT_WORDS), content=True)
 
@@ -121,20 +174,31 @@ def powers(factor: np.uint64, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def together(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows, first and number, that are not too large; a larger text is one by itself."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        reach = ends[start] - sizes[start] + TOGETHER_BYTES
+        end = max(start + 1, min(int(np.searchsorted(ends, reach, side="right")), start + TOGETHER))
+        yield start, end - start
+        start = end
+
+
 def run_table(docs: DataFrame, least: int, words: int) -> DataFrame:
     """``h1``, ``h2``, ``doc_id``, ``again``: the distinct runs of every row, and whether it holds
     them more than once."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        picks = Picks()
         for batch in batches:
             texts = pc.cast(batch.column(1), pa.binary())
-            for start in range(0, batch.num_rows, TOGETHER):
-                cuts = both_cuts([t or b"" for t in texts.slice(start, TOGETHER).to_pylist()], least, words)
+            for start, count in together(pc.fill_null(pc.binary_length(texts), 0).to_numpy()):
+                cuts = hashes_of_both_cuts([t or b"" for t in texts.slice(start, count).to_pylist()], least, words, picks)
                 hashes = np.concatenate([runs.hashes for runs in cuts]).view(np.int64)
                 owner, again = (np.concatenate([getattr(runs, name) for runs in cuts]) for name in ("owner", "again"))
                 table = pa.table({"h1": hashes[:, 0], "h2": hashes[:, 1], "owner": owner, "again": again})
                 distinct = table.group_by(["h1", "h2", "owner"]).aggregate([("again", "max")]).combine_chunks()
-                ids = batch.column(0).slice(start, TOGETHER).take(distinct.column("owner").combine_chunks())
+                ids = batch.column(0).slice(start, count).take(distinct.column("owner").combine_chunks())
                 columns = [distinct.column("h1").combine_chunks(), distinct.column("h2").combine_chunks(), ids, distinct.column("again_max").combine_chunks()]
                 yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc_id", "again"])
 
@@ -182,8 +246,9 @@ def remove_repeated_passages(
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(start, TOGETHER)
+            sizes = pc.fill_null(pc.binary_length(pc.cast(batch.column(1), pa.binary())), 0).to_numpy()
+            for start, count in together(sizes):
+                part = batch.slice(start, count)
                 kept, gone = part.column(1).to_pylist(), [0] * part.num_rows
                 marked = [i for i, runs in enumerate(part.column(3)) if runs.is_valid and kept[i]]
                 marked_texts = [kept[i].encode() for i in marked]
