@@ -1,12 +1,18 @@
-"""Line dedup by log templates, in built-in expressions only.
-
-Tokens with digits are variable.  A line that may have v variable tokens is cut into v + 1
-segments, so lines of one template share a whole segment, wherever their variable fields stand.
-A line goes to the leaf of its most frequent segment (with the number of tokens and the place).
-There, what is constant is measured by the line itself: by the support of the least frequent
-token that must be constant.  Templates that recur across documents are dropped, but for the
-document that has them first.  All but the number of documents goes by shares, so a template is
-found in a large table as in a small one.
+"""Line dedup by a fixed-depth tree of log templates, in built-in expressions only.
+
+Tokens with digits are variable.  A line is parsed as units: its tokens, or where these are more
+than ``UNITS`` as many groups of 2, 4, 8 and so on tokens that follow each other.  Only lines of
+which at least half of the units stand in several documents, at the same place of lines with as
+many tokens, can be of a template; all others end there.
+
+These go down a tree: the number of tokens, then the first and the second unit, with one child
+for every unit that has its share of the lines of a node and a wildcard child for all others.  In
+a leaf, what is constant is measured by the line itself: by the support of the least frequent of
+the units that must be constant.  A template must stand in several documents, and in at least
+half of those that have its rarest constant: words that are common by themselves make no
+template.  Lines of recurring templates are dropped, but for the document that has them first.
+All but the number of documents goes by shares, so a template is found in a large table as in a
+small one.
 """
 
 from __future__ import annotations
@@ -14,21 +20,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import spread_lookup, stored
+from tidemark.llm.tables import stored
 
 #: Documents a template must stand in.
 MIN_DOCS = 10
 
-#: So much of a template must be constant; in lines of up to three tokens that is every token.
-CONSTANT = 0.7
+#: So much of a line's units must be constant; in lines of up to SHORT tokens that is every token.
+CONSTANT, SHORT = 0.5, 3
 
-#: Constant are tokens with at least so much of the support that the line's constants have: one
+#: Units of a line, at most, up to the longest groups.
+UNITS, LONGEST_GROUP = 16, 1 << 16
+
+#: A unit has a child of its own if it has so much of a node's lines.
+BRANCH = 0.01
+
+#: Constant are units with at least so much of the support that the line's constants have: one
 #: template a share.
 SHARES = (0.5, 1.0)
 
+#: A template has so many of the documents that have its rarest constant at its place.
+OF_RAREST = 0.5
+
 VARIABLE = "<*>"
 
-#: Busy leaves, and lines in them, that are sent to all tasks rather than shuffled.
+#: Frequent units, and lines that may be of templates, that are sent to all tasks, not shuffled.
 MOST_BROADCAST = 1_000_000
 
 
@@ -51,32 +66,27 @@ def clean(line: Column) -> Column:
     return F.trim(line)
 
 
-def must_be_constant(tokens: Column, constant: float) -> Column:
-    return F.ceil(F.size(tokens) * constant - F.lit(1e-9)).cast("int")
-
-
-def line_table(docs: DataFrame, constant: float) -> DataFrame:
-    """``doc_id``, ``key``, ``line`` (masked) and ``tokens`` for every line that may be of a
-    template."""
-    lines = masked_texts(docs, F.col("text")).select("doc_id", F.explode(F.split("_masked", "\n")).alias("line"))
+def line_table(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``line`` (masked) and ``n``, its tokens, for the different lines of every row."""
+    lines = F.explode(F.array_distinct(F.split("_masked", "\n"))).alias("line")
+    lines = masked_texts(docs, F.col("text")).select("doc_id", lines)
     lines = lines.select("doc_id", clean(F.col("line")).alias("line")).where("line <> ''")
-    lines = lines.withColumn("tokens", F.split("line", " "))
-    fixed = F.size(F.array_remove("tokens", VARIABLE))
-    lines = lines.where(fixed >= must_be_constant(F.col("tokens"), constant))
-    return lines.select("doc_id", line_key(F.col("line")).alias("key"), "line", "tokens")
+    spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
+    return lines.withColumn("n", spaces + 1)
 
 
-def segments(tokens: Column, constant: float) -> Column:
-    """The leaves a line can go to: one for each segment without a variable token."""
-    n = F.size(tokens)
-    parts = n - must_be_constant(tokens, constant) + 1
+def units(line: Column, n: Column) -> Column:
+    """The tokens of a line, or groups of them that are at most ``UNITS``."""
+    cut = F.when(n <= UNITS, F.split(line, " "))
+    group = 2
+    while group < LONGEST_GROUP:
+        cut = cut.when(n <= UNITS * group, F.regexp_extract_all(line, F.lit(r"\S++(?: \S++){0,%d}+" % (group - 1)), F.lit(0)))
+        group *= 2
+    return cut.otherwise(F.regexp_extract_all(line, F.lit(r"\S++(?: \S++){0,%d}+" % (group - 1)), F.lit(0)))
 
-    def leaf(at: Column) -> Column:
-        begin, end = (F.floor(x * n / parts).cast("int") for x in (at, at + 1))
-        segment = F.slice(tokens, begin + 1, end - begin)
-        return F.when(~F.array_contains(segment, VARIABLE), F.xxhash64(n, at, segment))
 
-    return F.filter(F.transform(F.sequence(F.lit(0), parts - 1), leaf), lambda x: x.isNotNull())
+def must_be_constant(n: Column, count: Column, constant: float) -> Column:
+    return F.when(n <= SHORT, n).otherwise(F.ceil(count * constant - F.lit(1e-9))).cast("int")
 
 
 def sent(rows: DataFrame) -> DataFrame:
@@ -84,37 +94,63 @@ def sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
 
 
-def leaves_of_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """``key`` and ``leaf`` of the lines with a segment that stands often enough."""
-    pairs = lines.select("key", F.explode(segments(F.col("tokens"), constant)).alias("leaf"))
-    busy = stored(pairs.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "leaves")
-    largest = F.max(F.struct("n", "leaf"))
-    of_lines = pairs.join(sent(busy), "leaf").groupBy("key").agg(largest.alias("largest"))
-    return stored(of_lines.select("key", F.col("largest.leaf").alias("leaf")), "line-leaves")
-
-
-def templates(distinct: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """``key`` of a line and each ``template`` it belongs to."""
-    fields = distinct.select("leaf", "key", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    fields = fields.where(F.col("token") != VARIABLE)
-    supports = (
-        fields.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
-    )
-    known = spread_lookup(fields.drop("docs"), supports, ["leaf", "at", "token"], by="key", ways=8, how="inner")
-    parts = known.groupBy("key").agg(F.collect_list(F.struct("at", "token", "support")).alias("fields"))
-    lines = distinct.select("key", F.split("line", " ").alias("tokens"))
+def candidate_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """``doc_id``, ``key``, ``line``, ``n`` of the lines of which enough units are frequent at their
+    place among lines of as many tokens."""
+    split = lines.select("line", "n", units(F.col("line"), F.col("n")).alias("units"))
+    placed = split.select(
+        line_key(F.col("line")).alias("key"), "n", F.size("units").alias("m"), F.posexplode("units").alias("at", "unit")
+    ).where(F.col("unit") != VARIABLE)
+    placed = placed.withColumn("place", F.xxhash64("n", "at", "unit"))
+    frequent = placed.groupBy("place").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    frequent = stored(frequent.select("place"), "frequent-units")
+    # A bit for each place: copies of a line count once.  Beyond 62 units, of lines with over a
+    # million tokens, bits are shared and fewer of them are asked for.
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(62)).cast("int"))
+    bits = F.bit_count(F.bit_or(bit))
+    hits = placed.join(sent(frequent), "place").groupBy("key", "n", "m").agg(bits.alias("hits"))
+    needed = must_be_constant(F.col("n"), F.least("m", F.lit(62)), constant)
+    keys = stored(hits.where(F.col("hits") >= needed).select("key"), "candidate-lines")
+    keyed = lines.withColumn("key", line_key(F.col("line")))
+    return keyed.join(sent(keys), "key").select("doc_id", "key", "line", "n")
+
+
+def with_leaf(distinct: DataFrame, min_docs: int) -> DataFrame:
+    """``distinct`` with ``leaf``: the path of a line down the tree."""
+    parsed = distinct.withColumn("leaf", F.col("n").cast("string"))
+    for depth in range(2):
+        unit = F.coalesce(F.get("units", F.lit(depth)), F.lit(""))
+        parsed = parsed.withColumn("step", F.when(unit != VARIABLE, unit))
+        nodes = parsed.groupBy(F.col("leaf").alias("_leaf")).agg(F.sum("docs").alias("all"))
+        steps = parsed.where("step IS NOT NULL").groupBy("leaf", "step").agg(F.sum("docs").alias("some"))
+        children = steps.join(nodes, F.col("leaf") == F.col("_leaf"))
+        children = children.where((F.col("some") >= min_docs) & (F.col("some") >= BRANCH * F.col("all")))
+        children = children.select("leaf", "step", F.lit(True).alias("own"))
+        step = F.when(F.col("own"), F.col("step")).otherwise(VARIABLE)
+        parsed = parsed.join(children, ["leaf", "step"], "left").withColumn("leaf", F.concat_ws("\n", "leaf", step))
+        parsed = parsed.drop("own", "step")
+    return parsed.select("key", "n", "units", "docs", F.unhex(F.md5("leaf")).alias("leaf"))
+
+
+def templates(parsed: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """``key`` of a line, each ``template`` it belongs to, and the support of the rarest constant."""
+    fields = parsed.select("leaf", "key", "docs", F.posexplode("units").alias("at", "unit")).where(F.col("unit") != VARIABLE)
+    supports = fields.groupBy("leaf", "at", "unit").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    known = fields.drop("docs").join(supports, ["leaf", "at", "unit"])
+    parts = known.groupBy("key").agg(F.collect_list(F.struct("at", "unit", "support")).alias("fields"))
+    needed = must_be_constant(F.col("n"), F.size("units"), constant)
     ranked = F.sort_array(F.col("fields.support"), asc=False)
-    needed = must_be_constant(F.col("tokens"), constant)
-    found = lines.join(parts, "key").where(F.size("fields") >= needed).withColumn("level", F.element_at(ranked, needed))
+    found = parsed.join(parts, "key").where(F.size("fields") >= needed).withColumn("level", F.element_at(ranked, needed))
 
     def template(share: float) -> Column:
         fixed = F.filter("fields", lambda x: x["support"] >= F.col("level") * share)
         # Equal numbers of tokens and equal constants are equal templates.
-        places = F.array_sort(F.transform(fixed, lambda x: F.struct(x["at"].alias("at"), x["token"].alias("token"))))
-        return F.concat_ws(" ", F.size("tokens"), F.to_json(places))
+        places = F.array_sort(F.transform(fixed, lambda x: F.struct(x["at"].alias("at"), x["unit"].alias("unit"))))
+        name = F.concat_ws(" ", "n", F.hex("leaf"), F.to_json(places))
+        return F.struct(F.unhex(F.md5(name)).alias("template"), F.array_min(F.transform(fixed, lambda x: x["support"])).alias("rarest"))
 
-    each = F.array_distinct(F.array(*[F.unhex(F.md5(template(share))) for share in SHARES]))
-    return found.select("key", F.explode(each).alias("template"))
+    each = F.array_distinct(F.array(*[template(share) for share in SHARES]))
+    return found.select("key", F.inline(each))
 
 
 def recurring_lines(
@@ -126,25 +162,25 @@ def recurring_lines(
 ) -> DataFrame:
     """``doc_id``, ``key`` of the lines to drop."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = line_table(named.where(F.col("doc_id").isNotNull()), constant)
-    leaves = sent(leaves_of_lines(lines, min_docs, constant))
-    kept = lines.select("doc_id", "key", "line").join(leaves, "key")
-    distinct = stored(kept.groupBy("leaf", "key", "line").agg(F.count("*").alias("docs")), "template-lines")
-    found = stored(templates(distinct, min_docs, constant), "templates")
-    # A line goes with the most frequent of its templates.
-    keys = stored(lines.select("doc_id", "key").join(sent(found.select("key").distinct()), "key").distinct(), "lines")
+    lines = line_table(named.where(F.col("doc_id").isNotNull()))
+    candidates = stored(candidate_lines(lines, min_docs, constant).distinct(), "template-lines")
+    distinct = candidates.groupBy("key", "line", "n").agg(F.count("*").alias("docs"))
+    distinct = distinct.withColumn("units", units(F.col("line"), F.col("n")))
+    found = stored(templates(stored(with_leaf(distinct, min_docs), "parsed-lines"), min_docs, constant), "templates")
+    keys = candidates.select("doc_id", "key")
+    # Lines of a template are many, and so are those of a key: the adaptive planner deals them.
     recurring = (
-        spread_lookup(keys, found, ["key"], by="doc_id", how="inner")
-        .select("template", "doc_id")
+        keys.join(found, "key")
+        .select("template", "rarest", "doc_id")
         .distinct()
         .groupBy("template")
-        .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-        .where(F.col("n") >= min_docs)
+        .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("rarest").alias("rarest"))
+        .where((F.col("n") >= min_docs) & (F.col("n") >= OF_RAREST * F.col("rarest")))
     )
+    # A line goes with the most frequent of its templates.
     most = F.max_by("first", F.struct("n", "template")).alias("first")
-    of_lines = spread_lookup(found, recurring, ["template"], by="key", how="inner").groupBy("key").agg(most)
-    drops = spread_lookup(keys, of_lines, ["key"], by="doc_id", how="inner")
-    return drops.where("doc_id <> first").select("doc_id", "key")
+    of_lines = found.select("key", "template").join(recurring, "template").groupBy("key").agg(most)
+    return keys.join(of_lines, "key").where("doc_id <> first").select("doc_id", "key")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -159,18 +195,20 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     columns = [c for c in docs.columns if c != "dropped_lines"]
     drops = (
         recurring_lines(docs, id_col=id_col, text_col=text_col, **limits)
-        .groupBy(F.col("doc_id").alias("_drop_id"))
-        .agg(F.collect_set("key").alias("_drops"))
+        .groupBy(F.col("doc_id").alias("drop_id"))
+        .agg(F.collect_set("key").alias("drops"))
     )
-    joined = docs.join(drops, F.col(id_col) == F.col("_drop_id"), "left")
+    # The row is kept as one value, so no column can clash.
+    rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    joined = rows.join(drops, F.col("id") == F.col("drop_id"), "left")
     # Only texts with lines to drop are parted again.
-    dropping = F.col("_drops").isNotNull()
-    low = masked_texts(joined, F.when(dropping, F.col(text_col)))
-    both = F.arrays_zip(F.split(text_col, "\n").alias("line"), F.split("_masked", "\n").alias("low"))
-    kept = F.filter(both, lambda x: ~F.array_contains("_drops", line_key(clean(x["low"]))))
-    split = low.withColumn("_kept", F.when(dropping, kept))
-    changed = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(F.array_join(F.col("_kept.line"), "\n"))
-    lines = F.octet_length(text_col) - F.octet_length(F.replace(text_col, F.lit("\n"), F.lit(""))) + 1
-    gone = F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(lines - F.size("_kept"))
-    out = [changed.alias(c) if c == text_col else F.col(c) for c in columns]
+    dropping = F.col("drops").isNotNull()
+    low = masked_texts(joined, F.when(dropping, F.col("text")))
+    both = F.arrays_zip(F.split("text", "\n").alias("line"), F.split("_masked", "\n").alias("low"))
+    kept = F.filter(both, lambda x: ~F.array_contains("drops", line_key(clean(x["low"]))))
+    split = low.withColumn("kept", F.when(dropping, kept))
+    changed = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.col("kept.line"), "\n"))
+    lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    gone = F.when(F.col("kept").isNull(), F.lit(0)).otherwise(lines - F.size("kept"))
+    out = [(changed if c == text_col else F.col("row").getField(c)).alias(c) for c in columns]
     return split.select(*out, gone.cast("long").alias("dropped_lines"))
