@@ -157,39 +157,78 @@ def masked_lines(text):
     return [" ".join("<*>" if re.search(r"\d", w) else w for w in re.split(r"(?<=\s)|(?=\s)", line) if not w.isspace()) for line in lines]
 
 
-def brute_line_drops(rows, depth=4, min_docs=10, min_tokens=4, constant=0.7):
-    leaves, support, templates = Counter(), Counter(), defaultdict(set)
-    for i, text, _ in rows:
-        for line in masked_lines(text) if i is not None else []:
-            tokens = line.split(" ")
-            if len(tokens) >= min_tokens:
-                leaf = (len(tokens), *tokens[:depth])
-                leaves[leaf] += 1
-                for at, token in enumerate(tokens):
-                    support[leaf, at, token] += token != "<*>"
-    of_line = {}
+def line_units(line):
+    tokens, group = line.split(" "), 1
+    while len(tokens) > 16 * group:
+        group *= 2
+    return [" ".join(tokens[k : k + group]) for k in range(0, len(tokens), group)]
+
+
+def brute_line_drops(rows, min_docs=10, constant=0.5, branch=0.01, shares=(0.5, 1.0), of_rarest=0.5):
+    """The first document of every line that is of a recurring template."""
+    docs, places = defaultdict(set), Counter()
     for i, text, _ in rows:
-        for line in masked_lines(text) if i is not None else []:
-            tokens = line.split(" ")
-            leaf = (len(tokens), *tokens[:depth])
-            if len(tokens) >= min_tokens and leaves[leaf] >= min_docs:
-                shown = [t if support[leaf, at, t] >= min_docs else "<*>" for at, t in enumerate(tokens)]
-                if sum(t != "<*>" for t in shown) / len(tokens) >= constant:
-                    of_line[line] = " ".join(shown)
-                    templates[of_line[line]].add(i)
-    return {
-        line: min(templates[template])
-        for line, template in of_line.items()
-        if len(templates[template]) >= min_docs
-    }
+        for line in set(masked_lines(text)) - {""} if i is not None else ():
+            docs[line].add(i)
+            places.update((len(line.split(" ")), at, unit) for at, unit in enumerate(line_units(line)) if unit != "<*>")
+
+    def needed(line):
+        n = len(line.split(" "))
+        return n if n <= 3 else -(-len(line_units(line)) // 2)
+
+    def enough(line):
+        n = len(line.split(" "))
+        return sum(places[n, at, unit] >= min_docs for at, unit in enumerate(line_units(line))) >= needed(line)
+
+    candidates = {line: len(ids) for line, ids in docs.items() if enough(line)}
+    leaf = {line: (len(line.split(" ")),) for line in candidates}
+    for depth in range(2):
+        whole, some = Counter(), Counter()
+        step = {line: [*line_units(line), "", ""][depth] for line in candidates}
+        for line, n in candidates.items():
+            whole[leaf[line]] += n
+            some[leaf[line], step[line]] += n
+        for line in candidates:
+            have = some[leaf[line], step[line]]
+            own = step[line] != "<*>" and have >= min_docs and have >= branch * whole[leaf[line]]
+            step[line] = step[line] if own else "<*>"
+        leaf = {line: (*leaf[line], step[line]) for line in candidates}
+    support = Counter()
+    for line, n in candidates.items():
+        for at, unit in enumerate(line_units(line)):
+            support[leaf[line], at, unit] += n * (unit != "<*>")
+    templates, of_line = defaultdict(set), defaultdict(set)
+    for line in candidates:
+        found = {(at, unit): support[leaf[line], at, unit] for at, unit in enumerate(line_units(line))}
+        found = {u: s for u, s in found.items() if s >= min_docs}
+        if len(found) >= needed(line):
+            level = sorted(found.values(), reverse=True)[needed(line) - 1]
+            for share in shares:
+                fixed = {u: s for u, s in found.items() if s >= level * share}
+                template = (leaf[line], frozenset(fixed), min(fixed.values()))
+                templates[template] |= docs[line]
+                of_line[line].add(template)
+    out = {}
+    for line, choices in of_line.items():
+        recurring = [t for t in choices if len(templates[t]) >= max(min_docs, of_rarest * t[2])]
+        if recurring:
+            out[line] = min(templates[max(recurring, key=lambda t: len(templates[t]))])
+    return out
 
 
 def test_recurring_lines(spark, odd_rows):
     rows = [*odd_rows, (None, "This line stands in very many documents today", None), odd_rows[70]]
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choices("abcdefghij", k=6))
+    fields = lambda k: f"by {name()} in {name()}\nthe {name()} of {rng.choice(WORDS)}\n{prose(rng, 40)} always the same long end {k % 3} of it"
+    rows += [(2000 + k, fields(k), "a") for k in range(70)]
+    rows += [(3000 + k, " ".join(rng.choice(["the", "of", "and", "in", f"v{k}"]) for _ in range(8)), "a") for k in range(90)]
     first = brute_line_drops(rows)
-    assert any("<*>" in line for line in first)
-    got = line_templates.drop_recurring_lines(table(spark, rows))
-    assert got.columns == [*table(spark, rows[:1]).columns, "dropped_lines"]
+    assert any("<*>" in line for line in first) and sum(line.startswith("by ") for line in first) > 50
+    names = ("_low", "_masked", "_drops", "_kept", "line", "n", "row", "id", "units", "drops")
+    docs = table(spark, rows).withColumns({name: F.lit(1) for name in names})
+    got = line_templates.drop_recurring_lines(docs)
+    assert got.columns == [*docs.columns, "dropped_lines"]
     kept = Counter((r.doc_id, r.text, r.dropped_lines) for r in got.collect())
     want = Counter()
     for i, text, _ in rows:
@@ -338,6 +377,23 @@ def test_templates_with_a_word_field_at_the_begin_and_any_white_space(spark):
     assert lines_dropped(spark, spaced) == {i: int(i > 0) for i in range(12)}
 
 
+def test_templates_of_few_constants(spark):
+    """Half of the tokens and more are fields, of digits or of words."""
+    rng = random.Random(12)
+    name = lambda: "".join(rng.choices("abcdefghij", k=6))
+    for line in (lambda k: f"page {k} of {k + 9}", lambda k: f"posted by {name()} on {k}/5 at {k}:30", lambda k: f"by {name()} in {name()}"):
+        texts = [f"{' '.join(name() for _ in range(15))}\n{line(k)}" for k in range(60)]
+        assert lines_dropped(spark, texts) == {i: int(i > 0) for i in range(60)}
+
+
+def test_common_words_make_no_template(spark):
+    """Lines that share frequent words only stay, however many there are."""
+    rng = random.Random(13)
+    common, word = ["the", "of", "and", "in", "to"], lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = ["\n".join(" ".join(rng.choice(common) if rng.random() < 0.5 else word() for _ in range(6)) for _ in range(10)) for _ in range(150)]
+    assert sum(lines_dropped(spark, texts).values()) <= 15
+
+
 def test_short_lines_recur(spark):
     lines = ["All rights reserved.", "Read more", "Menu"]
     texts = ["\n".join([*lines, "", f"page {i}", "abcdefghijkl"[i]]) for i in range(12)]
