@@ -302,3 +302,14 @@ def test_levels_minimise_squares():
         assert after(packer.best_level(size)) == min(map(after, allowed))
         list(packer.add(packing.Piece(1, 0, bytes(4 * size), size)))
         assert packer.counts.tolist() == [0] + [len(packer.at[h]) for h in range(1, 16)] + [0]
+
+
+def test_archives_of_odd_ids(spark):
+    """Ids are text of any kind; a null id is not the id that looks like none."""
+    ids = ["a", "with\r\nbreak: x", "-", None, "", "null id", "é %41", "a b", "=", "A"]
+    rows = [(i, None, "same" if k % 2 else f"page {k}") for k, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc.archive_round_trip(spark, pages).collect()}
+    largest = max((i for k, i in enumerate(ids) if k % 2 and i is not None), key=str.encode)
+    want = {(i, "revisit" if k % 2 and i != largest else "response", largest if k % 2 and i != largest else None) for k, i in enumerate(ids)}
+    assert got == want

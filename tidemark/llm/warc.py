@@ -13,12 +13,13 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import new_folder, spread_lookup, stored
@@ -41,8 +42,9 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload, usedforsecurity=False).digest()).decode()
 
 
-def record_name(page_id: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"
+def record_name(page_id: str | None, digest: str) -> str:
+    name = "null id" if page_id is None else quote(page_id)  # a quoted id has no space
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name} {digest}')}>"
 
 
 def one_line(value: str) -> str:
@@ -50,7 +52,7 @@ def one_line(value: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
-def write_record(page_id: str, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
+def write_record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
     digest, revisit = base32_sha1(payload), refers_to is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = http.encode() + (b"" if revisit else payload)
@@ -62,8 +64,8 @@ def write_record(page_id: str, url: str | None, payload: bytes, refers_to: str |
         "WARC-Payload-Digest": f"sha1:{digest}",
         "WARC-Profile": REVISIT_PROFILE if revisit else None,
         "WARC-Refers-To": record_name(refers_to, digest) if revisit else None,
-        "X-Page-ID": page_id,
-        "X-Refers-To-Page-ID": refers_to,
+        "X-Page-ID": None if page_id is None else quote(page_id),
+        "X-Refers-To-Page-ID": None if refers_to is None else quote(refers_to),
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": str(len(block)),
     }
@@ -87,7 +89,8 @@ def read_record(record: bytes) -> tuple[dict[str, str], bytes, int]:
 def build_dictionary(pages: DataFrame, text_col: str = "html", records: int = SAMPLE_RECORDS) -> bytes:
     """A dictionary from a sample of at most ``records`` records; empty for an empty table."""
     share = min(1.0, 2.0 * records / max(1, pages.count()))
-    payloads = pages.select(F.coalesce(F.col(text_col), F.lit("")).alias("payload"))
+    # Cut before they are collected; a character is a byte at least.
+    payloads = pages.select(F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, SAMPLE_BYTES).alias("payload"))
     drawn = payloads.sample(share, seed=7).limit(records).collect() or payloads.limit(records).collect()
     samples = [write_record("0", "http://", row["payload"].encode(), None)[:SAMPLE_BYTES] for row in drawn]
     if not samples:
@@ -99,12 +102,18 @@ def build_dictionary(pages: DataFrame, text_col: str = "html", records: int = SA
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
+def payload_key(payload: Column, page_id: Column) -> Column:
+    """What tells a page and its payload from all others."""
+    return F.concat_ws(" ", F.sha2(payload, 256), F.coalesce(F.concat(F.lit("="), page_id.cast("string")), F.lit("-")))
+
+
 def page_roles(pages: DataFrame, least_bytes: int, id_col: str, text_col: str) -> DataFrame:
     """``_key`` (page and payload) and ``refers_to`` of every page, found by payload digest."""
     payload = F.coalesce(F.col(text_col), F.lit(""))
     digests = pages.select(
         F.col(id_col).alias("page_id"),
-        F.concat(F.sha1(payload), F.lit(" "), F.octet_length(payload)).alias("digest"),
+        F.sha2(payload, 256).alias("digest"),
+        payload_key(payload, F.col(id_col)).alias("_key"),
         (F.octet_length(payload) >= least_bytes).alias("counts"),
     )
     groups = (
@@ -116,10 +125,7 @@ def page_roles(pages: DataFrame, least_bytes: int, id_col: str, text_col: str) -
     other = F.col("response").isNotNull() & ~F.col("response").eqNullSafe(F.col("page_id"))
     return (
         spread_lookup(digests, groups, ["digest"], by="page_id")
-        .select(
-            F.concat_ws(" ", "digest", F.coalesce(F.col("page_id").cast("string"), F.lit("-"))).alias("_key"),
-            F.when(other, F.col("response")).alias("refers_to"),
-        )
+        .select("_key", F.when(other, F.col("response")).alias("refers_to"))
         .distinct()
     )
 
@@ -137,17 +143,16 @@ def write_archives(
 
     Of pages whose payloads are equal and have ``least_bytes`` or more, the largest id is the
     response and the others revisit it.  A null html is an empty payload, a null URL leaves its
-    header out, a null id is written as ``-``; rows that repeat the response's id are responses
-    too.  Every attempt of a task writes names of its own and only those of attempts that
+    header out and so does a null id; ids are percent-encoded, whatever they hold.  Rows that
+    repeat the response's id are responses too.  Every attempt of a task writes names of its own and only those of attempts that
     succeeded are listed, so a lost executor leaves no half archive behind.
     """
     dictionary = build_dictionary(pages, text_col)
     payload = F.coalesce(F.col(text_col), F.lit(""))
-    name = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
-    key = F.concat_ws(" ", F.sha1(payload), F.octet_length(payload), name)
+    key = payload_key(payload, F.col(id_col))
     roles = page_roles(pages, least_bytes, id_col, text_col)
     records = pages.select(
-        key.alias("_key"), name.alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload")
+        key.alias("_key"), F.col(id_col).cast("string").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload")
     ).join(roles, "_key").select("page_id", "url", "payload", F.col("refers_to").cast("string"))
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,9 +231,9 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                         headers, payload, length = read_record(record)
                         revisit = headers["WARC-Type"] == "revisit"
                         rows.append((
-                            headers["X-Page-ID"], headers.get("WARC-Target-URI"), None if revisit else payload, length,
+                            unquoted(headers.get("X-Page-ID")), headers.get("WARC-Target-URI"), None if revisit else payload, length,
                             headers["WARC-Payload-Digest"].removeprefix("sha1:"), headers["WARC-Type"],
-                            headers.get("X-Refers-To-Page-ID"),
+                            unquoted(headers.get("X-Refers-To-Page-ID")),
                         ))
                         size += len(payload)
                         if size > 4 << 20 or len(rows) >= 5000:
@@ -242,6 +247,10 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     return archives.select("archive").repartition(tasks, "archive").mapInArrow(read, columns)
 
 
+def unquoted(value: str | None) -> str | None:
+    return None if value is None else unquote(value)
+
+
 def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
@@ -252,5 +261,4 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int =
     folder = new_folder(spark, "warc")
     id_type = pages.schema["page_id"].dataType
     read = read_archives(write_archives(pages, folder, least_bytes), folder)
-    page_id = F.when(F.col("page_id") != "-", F.col("page_id")).cast(id_type)
-    return read.withColumns({"page_id": page_id, "refers_to": F.col("refers_to").cast(id_type)})
+    return read.withColumns({"page_id": F.col("page_id").cast(id_type), "refers_to": F.col("refers_to").cast(id_type)})
