@@ -42,11 +42,12 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents as often as the mix takes them; those it leaves out, or without words, go."""
     plan = mixing.fair_queue(docs).where("taken > 0")
     times = plan.groupBy("doc_id", "size").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    sized = docs.withColumn("_size", mixing.word_count(F.col("text")))
-    named = times.select(F.col("doc_id").alias("_taken_id"), F.col("size").alias("_taken_size"), "times")
-    same = F.col("doc_id").eqNullSafe(F.col("_taken_id")) & (F.col("_size") == F.col("_taken_size"))
-    taken = sized.join(named, same).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return taken.select(*docs.columns)
+    # The row is kept as one value, so no column can clash.
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").alias("row_id"), mixing.word_count(F.col("text")).alias("row_size"))
+    same = F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("row_size") == F.col("size"))
+    taken = rows.join(times, same).withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
