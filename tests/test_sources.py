@@ -1,4 +1,5 @@
 import os
+from collections import Counter
 from datetime import timedelta
 
 import pytest
@@ -23,7 +24,7 @@ from tidemark.sources import (
     read_parsed,
     rejected,
 )
-from tidemark.sources.readers import parse_access_log
+from tidemark.sources.readers import parse_access_log, parse_lines, parse_mixed
 
 BASE = 1_700_000_000
 
@@ -153,3 +154,20 @@ def test_times(spark):
         "2024-02-29 00:00:00",
         "1969-12-31 00:00:00",
     ]
+
+
+def test_lines_of_several_formats(spark):
+    """Each line is parsed by the format it names, as that format alone would."""
+    formats = (LOGIN, ORDER, KEY_TIME)
+    good = {LOGIN: "7,10.0.0.1,fail,1700000000", ORDER: "5,pay,p1,1700000000", KEY_TIME: "a 1700000000000"}
+    lines = [(fmt.name, line) for fmt in formats for line in (good[fmt], "", "x", good[LOGIN], good[ORDER], None)]
+    lines += [("other", good[LOGIN]), (None, good[LOGIN])]
+    mixed = parse_mixed(spark.createDataFrame(lines, "format string, value string"), formats)
+    for fmt in formats:
+        of_format = mixed.where(F.col("format") == fmt.name)
+        alone = parse_lines(spark.createDataFrame([(v,) for f, v in lines if f == fmt.name], "value string"), fmt)
+        names = [name for name, _ in fmt.fields]
+        got = of_format.select(*[F.col(f"{fmt.name}.{n}").alias(n) for n in names], "_line", "_rejected").collect()
+        assert Counter(map(tuple, got)) == Counter(map(tuple, alone.select(*names, "_line", "_rejected").collect()))
+    unknown = mixed.where("format = 'other' OR format IS NULL").collect()
+    assert [r._rejected for r in unknown] == [True, True]

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import operators as op
@@ -28,7 +27,7 @@ from tidemark.sources import (
     accepted,
     parse_access_log,
     parse_lines,
-    rejected,
+    parse_mixed,
 )
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -93,8 +92,8 @@ def hot_pages_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the delimited logs
 
 
-def log_lines(spark: SparkSession, sf_dir: str, fmt: RecordFormat) -> DataFrame:
-    """Every event written as a line of ``fmt``; of some the time is no time, far too large or
+def log_line(fmt: RecordFormat) -> Column:
+    """An event written as a line of ``fmt``; of some the time is no time, far too large or
     missing."""
     k, kind, user = F.col("k"), F.col("event_type"), F.col("user_id")
     unit = 1_000_000 if fmt.unit == "seconds" else 1000
@@ -116,40 +115,37 @@ def log_lines(spark: SparkSession, sf_dir: str, fmt: RecordFormat) -> DataFrame:
         MARKET: [user, F.concat(F.lit("channel"), k % CHANNELS), time, kind],
         KEY_TIME: [kind, time],
     }
-    return events(spark, sf_dir).select(F.concat_ws(fmt.sep, *parts[fmt]).alias("value"))
+    return F.concat_ws(fmt.sep, *parts[fmt])
 
 
 FORMATS = (BEHAVIOR, AD_CLICK, LOGIN, ORDER, RECEIPT, MARKET, KEY_TIME)
 
 
+def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line of every format, parsed in one pass."""
+    lines = F.array(*[F.struct(F.lit(fmt.name).alias("format"), log_line(fmt).alias("value")) for fmt in FORMATS])
+    return parse_mixed(events(spark, sf_dir).select(F.inline(lines)), FORMATS)
+
+
 def parsed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted records and rejects of every format, with the times of the accepted."""
-    found = []
-    for fmt in FORMATS:
-        parsed = parse_lines(log_lines(spark, sf_dir, fmt), fmt)
-        good = F.when(~F.col("_rejected"), F.col("ts").cast("timestamp_ntz"))
-        found.append(
-            parsed.agg(
-                F.count_if(~F.col("_rejected")).alias("accepted"),
-                F.count_if("_rejected").alias("rejected"),
-                F.min(good).alias("first_ts"),
-                F.max(good).alias("last_ts"),
-            ).select(F.lit(fmt.name).alias("format"), "*")
-        )
-    return reduce(DataFrame.unionAll, found)
+    times = F.coalesce(*[F.col(f"{fmt.name}.ts") for fmt in FORMATS])
+    good = F.when(~F.col("_rejected"), times.cast("timestamp_ntz"))
+    return mixed_log(spark, sf_dir).groupBy("format").agg(
+        F.count_if(~F.col("_rejected")).alias("accepted"),
+        F.count_if("_rejected").alias("rejected"),
+        F.min(good).alias("first_ts"),
+        F.max(good).alias("last_ts"),
+    )
 
 
 def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [
-        rejected(parse_lines(log_lines(spark, sf_dir, fmt), fmt)).select(F.lit(fmt.name).alias("format"), "line")
-        for fmt in FORMATS
-    ]
-    return reduce(DataFrame.unionAll, found)
+    return mixed_log(spark, sf_dir).where("_rejected").select("format", F.col("_line").alias("line"))
 
 
 def paid_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order records with a payment id, as read from their lines."""
-    orders = accepted(parse_lines(log_lines(spark, sf_dir, ORDER), ORDER))
+    orders = accepted(parse_lines(events(spark, sf_dir).select(log_line(ORDER).alias("value")), ORDER))
     paid = orders.where(F.col("pay_id").isNotNull())
     return paid.select("order_id", "state", "pay_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 

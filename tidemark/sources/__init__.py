@@ -12,6 +12,7 @@ from tidemark.sources.readers import (
     accepted,
     parse_access_log,
     parse_lines,
+    parse_mixed,
     read_access_log,
     read_events,
     read_lines,
@@ -31,6 +32,7 @@ __all__ = [
     "accepted",
     "parse_access_log",
     "parse_lines",
+    "parse_mixed",
     "read_access_log",
     "read_events",
     "read_lines",

@@ -7,7 +7,7 @@ into the two outputs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -71,8 +71,8 @@ def _records(lines: DataFrame, sep: str, fields: list[Column], required: list[st
     return records.withColumn("_rejected", _any([F.col(name).isNull() for name in required]))
 
 
-def parse_lines(lines: DataFrame, fmt: RecordFormat) -> DataFrame:
-    """Typed columns of ``fmt`` plus ``_line`` and ``_rejected``."""
+def _fields(fmt: RecordFormat) -> list[Column]:
+    """The typed fields of a format, of the array ``_parts``."""
     fields = []
     for position, (name, kind) in enumerate(fmt.fields):
         text = F.trim(F.get("_parts", F.lit(position)))
@@ -84,8 +84,36 @@ def parse_lines(lines: DataFrame, fmt: RecordFormat) -> DataFrame:
             value = F.when(value.between(FIRST_SECOND * unit, LAST_SECOND * unit + unit - 1), value)
             value = F.timestamp_seconds(value) if unit == 1 else F.timestamp_millis(value)
         fields.append(value.alias(name))
-    required = [name for name, _ in fmt.fields if name not in fmt.optional]
-    return _records(lines, fmt.sep, fields, required)
+    return fields
+
+
+def _required(fmt: RecordFormat) -> list[str]:
+    return [name for name, _ in fmt.fields if name not in fmt.optional]
+
+
+def parse_lines(lines: DataFrame, fmt: RecordFormat) -> DataFrame:
+    """Typed columns of ``fmt`` plus ``_line`` and ``_rejected``."""
+    return _records(lines, fmt.sep, _fields(fmt), _required(fmt))
+
+
+def parse_mixed(lines: DataFrame, formats: Sequence[RecordFormat], name_col: str = "format") -> DataFrame:
+    """Lines of several formats in one pass; ``name_col`` has the name of each line's format.
+
+    Gives ``name_col``, a struct for every format that is set on its own lines, ``_line`` and
+    ``_rejected``; a line of another format, or of none, is rejected.
+    """
+    mine = {fmt: F.col(name_col) == fmt.name for fmt in formats}
+
+    def of_format(values: dict[RecordFormat, Column], otherwise: Column | None = None) -> Column:
+        chosen = reduce(lambda found, fmt: found.when(mine[fmt], values[fmt]), formats, F)
+        return chosen if otherwise is None else chosen.otherwise(otherwise)
+
+    parts = of_format({fmt: F.split("value", fmt.sep) for fmt in formats}).alias("_parts")
+    split = lines.select(name_col, F.col("value").alias("_line"), parts)
+    structs = [F.when(mine[fmt], F.struct(*_fields(fmt))).alias(fmt.name) for fmt in formats]
+    records = split.select(name_col, "_line", F.inline(F.array(F.struct(*structs))))
+    missing = {fmt: _any([F.col(f"{fmt.name}.{name}").isNull() for name in _required(fmt)]) for fmt in formats}
+    return records.withColumn("_rejected", of_format(missing, F.lit(True)))
 
 
 def parse_access_log(lines: DataFrame) -> DataFrame:
