@@ -159,8 +159,10 @@ def masked_lines(text):
 
 def line_units(line):
     tokens, group = line.split(" "), 1
-    while len(tokens) > 16 * group:
-        group *= 2
+    if len(tokens) > 16:
+        group = 4
+        while len(tokens) > 8 * group:
+            group *= 2
     return [" ".join(tokens[k : k + group]) for k in range(0, len(tokens), group)]
 
 

@@ -1,7 +1,7 @@
 """Line dedup by a fixed-depth tree of log templates, in built-in expressions only.
 
 Tokens with digits are variable.  A line is parsed as units: its tokens, or where these are more
-than ``UNITS`` as many groups of 2, 4, 8 and so on tokens that follow each other.  Only lines of
+than ``UNITS`` at most ``GROUPS`` groups of 4, 8, 16 and so on tokens that follow each other.  Only lines of
 which at least half of the units stand in several documents, at the same place of lines with as
 many tokens, can be of a template; all others end there.
 
@@ -28,8 +28,8 @@ MIN_DOCS = 10
 #: So much of a line's units must be constant; in lines of up to SHORT tokens that is every token.
 CONSTANT, SHORT = 0.5, 3
 
-#: Units of a line, at most, up to the longest groups.
-UNITS, LONGEST_GROUP = 16, 1 << 16
+#: Units of a line, at most: single tokens, or groups, up to the longest.
+UNITS, GROUPS, LONGEST_GROUP = 16, 8, 1 << 16
 
 #: A unit has a child of its own if it has so much of a node's lines.
 BRANCH = 0.01
@@ -51,15 +51,10 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def masked_texts(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with the column ``_masked``: the text in lower case, white space within lines as
-    single spaces, with tokens that hold a digit as variable.  It has the lines of the text, one
-    for one."""
-    low = docs.withColumn("_low", F.lower(text))
-    single = F.regexp_replace("_low", r"[ \t\x0B\f\r]+", " ")
-    low = low.withColumn("_low", F.when(F.col("_low").rlike(r"  |[\t\x0B\f\r]"), single).otherwise(F.col("_low")))
-    variable = F.regexp_replace("_low", r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)
-    return low.withColumn("_masked", F.when(F.col("_low").rlike(r"\d"), variable).otherwise(F.col("_low"))).drop("_low")
+def masked(low: Column) -> Column:
+    """A lower-case line with white space as single spaces and tokens that hold a digit as variable."""
+    spaced = F.when(low.rlike(r"  |[\t\x0B\f\r]"), F.regexp_replace(low, r"[ \t\x0B\f\r]+", " ")).otherwise(low)
+    return F.when(low.rlike(r"\d"), F.regexp_replace(spaced, r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)).otherwise(spaced)
 
 
 def clean(line: Column) -> Column:
@@ -67,20 +62,20 @@ def clean(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``line`` (masked) and ``n``, its tokens, for the different lines of every row."""
-    lines = F.explode(F.array_distinct(F.split("_masked", "\n"))).alias("line")
-    lines = masked_texts(docs, F.col("text")).select("doc_id", lines)
-    lines = lines.select("doc_id", clean(F.col("line")).alias("line")).where("line <> ''")
+    """``doc_id``, ``line`` (masked) and ``n``, its tokens, for the lines of every row."""
+    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+    lines = lines.select("doc_id", F.lower("line").alias("low"))
+    lines = lines.select("doc_id", clean(masked(F.col("low"))).alias("line")).where("line <> ''")
     spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
     return lines.withColumn("n", spaces + 1)
 
 
 def units(line: Column, n: Column) -> Column:
-    """The tokens of a line, or groups of them that are at most ``UNITS``."""
+    """The tokens of a line, or groups of them if they are many."""
     cut = F.when(n <= UNITS, F.split(line, " "))
-    group = 2
+    group = 4
     while group < LONGEST_GROUP:
-        cut = cut.when(n <= UNITS * group, F.regexp_extract_all(line, F.lit(r"\S++(?: \S++){0,%d}+" % (group - 1)), F.lit(0)))
+        cut = cut.when(n <= GROUPS * group, F.regexp_extract_all(line, F.lit(r"\S++(?: \S++){0,%d}+" % (group - 1)), F.lit(0)))
         group *= 2
     return cut.otherwise(F.regexp_extract_all(line, F.lit(r"\S++(?: \S++){0,%d}+" % (group - 1)), F.lit(0)))
 
@@ -104,8 +99,8 @@ def candidate_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
     placed = placed.withColumn("place", F.xxhash64("n", "at", "unit"))
     frequent = placed.groupBy("place").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     frequent = stored(frequent.select("place"), "frequent-units")
-    # A bit for each place: copies of a line count once.  Beyond 62 units, of lines with over a
-    # million tokens, bits are shared and fewer of them are asked for.
+    # A bit for each place: copies of a line count once.  Beyond 62 units, of lines with millions
+    # of tokens, bits are shared and fewer of them are asked for.
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(62)).cast("int"))
     bits = F.bit_count(F.bit_or(bit))
     hits = placed.join(sent(frequent), "place").groupBy("key", "n", "m").agg(bits.alias("hits"))
@@ -203,11 +198,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     joined = rows.join(drops, F.col("id") == F.col("drop_id"), "left")
     # Only texts with lines to drop are parted again.
     dropping = F.col("drops").isNotNull()
-    low = masked_texts(joined, F.when(dropping, F.col("text")))
-    both = F.arrays_zip(F.split("text", "\n").alias("line"), F.split("_masked", "\n").alias("low"))
-    kept = F.filter(both, lambda x: ~F.array_contains("drops", line_key(clean(x["low"]))))
-    split = low.withColumn("kept", F.when(dropping, kept))
-    changed = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.col("kept.line"), "\n"))
+    stays = lambda line: ~F.array_contains("drops", line_key(clean(masked(F.lower(line)))))
+    split = joined.withColumn("kept", F.when(dropping, F.filter(F.split("text", "\n"), stays)))
+    changed = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
     lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     gone = F.when(F.col("kept").isNull(), F.lit(0)).otherwise(lines - F.size("kept"))
     out = [(changed if c == text_col else F.col("row").getField(c)).alias(c) for c in columns]
