@@ -63,9 +63,9 @@ def clean(line: Column) -> Column:
 
 def line_table(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``line`` (masked) and ``n``, its tokens, for the lines of every row."""
-    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    lines = lines.select("doc_id", F.lower("line").alias("low"))
-    lines = lines.select("doc_id", clean(masked(F.col("low"))).alias("line")).where("line <> ''")
+    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), "\n"))).alias("low"))
+    # Out of an explode, so that no later use of a line masks it again.
+    lines = lines.select("doc_id", F.explode(F.array(clean(masked(F.col("low"))))).alias("line")).where("line <> ''")
     spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
     return lines.withColumn("n", spaces + 1)
 
@@ -198,9 +198,10 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     joined = rows.join(drops, F.col("id") == F.col("drop_id"), "left")
     # Only texts with lines to drop are parted again.
     dropping = F.col("drops").isNotNull()
-    stays = lambda line: ~F.array_contains("drops", line_key(clean(masked(F.lower(line)))))
-    split = joined.withColumn("kept", F.when(dropping, F.filter(F.split("text", "\n"), stays)))
-    changed = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
+    both = F.arrays_zip(F.split("text", "\n").alias("line"), F.split(F.lower("text"), "\n").alias("low"))
+    kept = F.filter(both, lambda x: ~F.array_contains("drops", line_key(clean(masked(x["low"])))))
+    split = joined.withColumn("kept", F.when(dropping, kept))
+    changed = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.col("kept.line"), "\n"))
     lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     gone = F.when(F.col("kept").isNull(), F.lit(0)).otherwise(lines - F.size("kept"))
     out = [(changed if c == text_col else F.col("row").getField(c)).alias(c) for c in columns]
