@@ -388,6 +388,24 @@ def test_templates_of_few_constants(spark):
         assert lines_dropped(spark, texts) == {i: int(i > 0) for i in range(60)}
 
 
+def test_lines_that_differ_in_fields_only_are_one_pattern(spark):
+    rng = random.Random(14)
+    name = lambda: "".join(rng.choices("abcdefghij", k=8))
+    texts = [(k, f"posted by {name()} on our front page of {k}\nall of {name()} {name()}") for k in range(80)]
+    lines = line_templates.line_table(spark.createDataFrame(texts, "doc_id long, text string"))
+    placed = line_templates.placed_lines(lines)
+    got = line_templates.candidate_lines(placed, 10, 0.5).collect()
+    assert Counter((r.n, sum(u is not None for u in r.units)) for r in got) == {(8, 6): 80, (4, 2): 80}
+    assert len({r.key for r in got}) == 160 and len({r.pattern for r in got}) == 2
+
+
+def test_texts_are_parted_once(spark, monkeypatch):
+    plans, stored = [], line_templates.stored
+    monkeypatch.setattr(line_templates, "stored", lambda rows, label: plans.append(rows._jdf.queryExecution().toString()) or stored(rows, label))
+    line_templates.recurring_lines(spark.createDataFrame([(k, f"line {k} of all") for k in range(20)], "doc_id long, text string"))
+    assert sum("split(lower" in plan for plan in plans) == 1
+
+
 def test_common_words_make_no_template(spark):
     """Lines that share frequent words only stay, however many there are."""
     rng = random.Random(13)

@@ -53,8 +53,11 @@ def line_key(line: Column) -> Column:
 
 def masked(low: Column) -> Column:
     """A lower-case line with white space as single spaces and tokens that hold a digit as variable."""
-    spaced = F.when(low.rlike(r"  |[\t\x0B\f\r]"), F.regexp_replace(low, r"[ \t\x0B\f\r]+", " ")).otherwise(low)
-    return F.when(low.rlike(r"\d"), F.regexp_replace(spaced, r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)).otherwise(spaced)
+    wide = low.contains("  ") | low.rlike(r"[\t\x0B\f\r]")
+    spaced = F.when(wide, F.regexp_replace(low, r"[ \t\x0B\f\r]+", " ")).otherwise(low)
+    fields = F.when(low.rlike(r"\d"), F.regexp_replace(spaced, r"(?<!\S)[^\s\d]*+\d\S*+", VARIABLE)).otherwise(spaced)
+    # One search tells that a line has none of all this, as most have.
+    return F.when(low.contains("  ") | low.rlike(r"[\d\t\x0B\f\r]"), fields).otherwise(low)
 
 
 def clean(line: Column) -> Column:
@@ -89,53 +92,61 @@ def sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
 
 
-def candidate_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """``doc_id``, ``key``, ``line``, ``n`` of the lines of which enough units are frequent at their
-    place among lines of as many tokens."""
-    split = lines.select("line", "n", units(F.col("line"), F.col("n")).alias("units"))
-    placed = split.select(
-        line_key(F.col("line")).alias("key"), "n", F.size("units").alias("m"), F.posexplode("units").alias("at", "unit")
-    ).where(F.col("unit") != VARIABLE)
-    placed = placed.withColumn("place", F.xxhash64("n", "at", "unit"))
-    frequent = placed.groupBy("place").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    frequent = stored(frequent.select("place"), "frequent-units")
+def placed_lines(lines: DataFrame) -> DataFrame:
+    """``doc_id``, ``key``, ``n`` and ``units`` of the lines: a unit as hash of itself and its place, or null if variable."""
+    number = lambda unit, at: F.when(unit != VARIABLE, F.xxhash64("n", at, unit))
+    return lines.select("doc_id", line_key(F.col("line")).alias("key"), "n", F.transform(units(F.col("line"), F.col("n")), number).alias("units"))
+
+
+def place_bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(62)).cast("int"))
+
+
+def candidate_lines(placed: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """The rows of ``placed`` of which enough units are frequent at their place among lines of as many
+    tokens, with their ``pattern``: these units, all others being variable."""
+    each = placed.select("key", "n", F.size("units").alias("m"), F.posexplode("units").alias("at", "unit")).where("unit IS NOT NULL")
+    frequent = each.groupBy("unit").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    frequent = stored(frequent.select("unit"), "frequent-units")
     # A bit for each place: copies of a line count once.  Beyond 62 units, of lines with millions
     # of tokens, bits are shared and fewer of them are asked for.
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(62)).cast("int"))
-    bits = F.bit_count(F.bit_or(bit))
-    hits = placed.join(sent(frequent), "place").groupBy("key", "n", "m").agg(bits.alias("hits"))
+    bits = F.bit_or(place_bit(F.col("at"))).alias("bits")
+    hits = each.join(sent(frequent), "unit").groupBy("key", "n", "m").agg(bits)
     needed = must_be_constant(F.col("n"), F.least("m", F.lit(62)), constant)
-    keys = stored(hits.where(F.col("hits") >= needed).select("key"), "candidate-lines")
-    keyed = lines.withColumn("key", line_key(F.col("line")))
-    return keyed.join(sent(keys), "key").select("doc_id", "key", "line", "n")
+    keys = stored(hits.where(F.bit_count("bits") >= needed).select("key", "bits"), "candidate-lines")
+    # A unit that is not frequent at its place has no support in any leaf.
+    known = lambda unit, at: F.when(F.col("bits").bitwiseAND(place_bit(at)) != 0, unit)
+    cut = placed.join(sent(keys), "key").select("doc_id", "key", "n", F.transform("units", known).alias("units"))
+    names = F.transform("units", lambda unit: F.coalesce(unit.cast("string"), F.lit(VARIABLE)))
+    return cut.withColumn("pattern", line_key(F.concat_ws(" ", "n", names)))
 
 
-def with_leaf(distinct: DataFrame, min_docs: int) -> DataFrame:
-    """``distinct`` with ``leaf``: the path of a line down the tree."""
-    parsed = distinct.withColumn("leaf", F.col("n").cast("string"))
+def with_leaf(patterns: DataFrame, min_docs: int) -> DataFrame:
+    """``patterns`` with ``leaf``: the path of their lines down the tree."""
+    parsed = patterns.withColumn("leaf", F.col("n").cast("string"))
     for depth in range(2):
-        unit = F.coalesce(F.get("units", F.lit(depth)), F.lit(""))
-        parsed = parsed.withColumn("step", F.when(unit != VARIABLE, unit))
+        parsed = parsed.withColumn("step", F.get("units", F.lit(depth)))
         nodes = parsed.groupBy(F.col("leaf").alias("_leaf")).agg(F.sum("docs").alias("all"))
         steps = parsed.where("step IS NOT NULL").groupBy("leaf", "step").agg(F.sum("docs").alias("some"))
         children = steps.join(nodes, F.col("leaf") == F.col("_leaf"))
         children = children.where((F.col("some") >= min_docs) & (F.col("some") >= BRANCH * F.col("all")))
         children = children.select("leaf", "step", F.lit(True).alias("own"))
-        step = F.when(F.col("own"), F.col("step")).otherwise(VARIABLE)
+        step = F.when(F.col("own"), F.col("step").cast("string")).otherwise(VARIABLE)
         parsed = parsed.join(children, ["leaf", "step"], "left").withColumn("leaf", F.concat_ws("\n", "leaf", step))
         parsed = parsed.drop("own", "step")
-    return parsed.select("key", "n", "units", "docs", F.unhex(F.md5("leaf")).alias("leaf"))
+    return parsed.select("pattern", "n", "units", "docs", F.unhex(F.md5("leaf")).alias("leaf"))
 
 
 def templates(parsed: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """``key`` of a line, each ``template`` it belongs to, and the support of the rarest constant."""
-    fields = parsed.select("leaf", "key", "docs", F.posexplode("units").alias("at", "unit")).where(F.col("unit") != VARIABLE)
+    """``pattern``, each ``template`` its lines belong to, and the support of the rarest constant."""
+    placed = F.transform("units", lambda unit, at: F.struct(at.alias("at"), unit.alias("unit")))
+    fields = parsed.select("leaf", "pattern", "docs", F.inline(F.filter(placed, lambda x: x["unit"].isNotNull())))
     supports = fields.groupBy("leaf", "at", "unit").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     known = fields.drop("docs").join(supports, ["leaf", "at", "unit"])
-    parts = known.groupBy("key").agg(F.collect_list(F.struct("at", "unit", "support")).alias("fields"))
+    parts = known.groupBy("pattern").agg(F.collect_list(F.struct("at", "unit", "support")).alias("fields"))
     needed = must_be_constant(F.col("n"), F.size("units"), constant)
     ranked = F.sort_array(F.col("fields.support"), asc=False)
-    found = parsed.join(parts, "key").where(F.size("fields") >= needed).withColumn("level", F.element_at(ranked, needed))
+    found = parsed.join(parts, "pattern").where(F.size("fields") >= needed).withColumn("level", F.element_at(ranked, needed))
 
     def template(share: float) -> Column:
         fixed = F.filter("fields", lambda x: x["support"] >= F.col("level") * share)
@@ -145,7 +156,7 @@ def templates(parsed: DataFrame, min_docs: int, constant: float) -> DataFrame:
         return F.struct(F.unhex(F.md5(name)).alias("template"), F.array_min(F.transform(fixed, lambda x: x["support"])).alias("rarest"))
 
     each = F.array_distinct(F.array(*[template(share) for share in SHARES]))
-    return found.select("key", F.inline(each))
+    return found.select("pattern", F.inline(each))
 
 
 def recurring_lines(
@@ -158,14 +169,16 @@ def recurring_lines(
     """``doc_id``, ``key`` of the lines to drop."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = line_table(named.where(F.col("doc_id").isNotNull()))
-    candidates = stored(candidate_lines(lines, min_docs, constant).distinct(), "template-lines")
-    distinct = candidates.groupBy("key", "line", "n").agg(F.count("*").alias("docs"))
-    distinct = distinct.withColumn("units", units(F.col("line"), F.col("n")))
-    found = stored(templates(stored(with_leaf(distinct, min_docs), "parsed-lines"), min_docs, constant), "templates")
-    keys = candidates.select("doc_id", "key")
-    # Lines of a template are many, and so are those of a key: the adaptive planner deals them.
+    # Texts are parted once: all that follows reads the numbers of their units.
+    placed = stored(placed_lines(lines), "placed-lines")
+    candidates = stored(candidate_lines(placed, min_docs, constant).distinct(), "template-lines")
+    # Lines that differ in variable units only go down the tree once.
+    patterns = candidates.groupBy("pattern", "n", "units").agg(F.count("*").alias("docs"))
+    found = stored(templates(stored(with_leaf(patterns, min_docs), "parsed-lines"), min_docs, constant), "templates")
+    keys = candidates.select("doc_id", "key", "pattern")
+    # Lines of a template are many, and so are those of a pattern: the adaptive planner deals them.
     recurring = (
-        keys.join(found, "key")
+        keys.join(found, "pattern")
         .select("template", "rarest", "doc_id")
         .distinct()
         .groupBy("template")
@@ -174,8 +187,8 @@ def recurring_lines(
     )
     # A line goes with the most frequent of its templates.
     most = F.max_by("first", F.struct("n", "template")).alias("first")
-    of_lines = found.select("key", "template").join(recurring, "template").groupBy("key").agg(most)
-    return keys.join(of_lines, "key").where("doc_id <> first").select("doc_id", "key")
+    of_lines = found.select("pattern", "template").join(recurring, "template").groupBy("pattern").agg(most)
+    return keys.join(of_lines, "pattern").where("doc_id <> first").select("doc_id", "key")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
