@@ -395,7 +395,7 @@ def test_lines_that_differ_in_fields_only_are_one_pattern(spark):
     lines = line_templates.line_table(spark.createDataFrame(texts, "doc_id long, text string"))
     placed = line_templates.placed_lines(lines)
     got = line_templates.candidate_lines(placed, 10, 0.5).collect()
-    assert Counter((r.n, sum(u is not None for u in r.units)) for r in got) == {(8, 6): 80, (4, 2): 80}
+    assert Counter((r.n, sum(u is not None for u in r.units)) for r in got) == {(9, 7): 80, (4, 2): 80}
     assert len({r.key for r in got}) == 160 and len({r.pattern for r in got}) == 2
 
 

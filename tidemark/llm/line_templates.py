@@ -3,7 +3,9 @@
 Tokens with digits are variable.  A line is parsed as units: its tokens, or where these are more
 than ``UNITS`` at most ``GROUPS`` groups of 4, 8, 16 and so on tokens that follow each other.  Only lines of
 which at least half of the units stand in several documents, at the same place of lines with as
-many tokens, can be of a template; all others end there.
+many tokens, can be of a template; all others end there.  Texts are parted once: all that follows
+knows a unit, with its place, by a hash of 64 bits, and lines that differ in other units only as
+one pattern.
 
 These go down a tree: the number of tokens, then the first and the second unit, with one child
 for every unit that has its share of the lines of a node and a wildcard child for all others.  In
