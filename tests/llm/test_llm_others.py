@@ -242,6 +242,22 @@ def test_words_encode_as_the_tokenizer_does():
         assert np.frombuffer(ids, "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_new_words_go_through_the_tokenizer_in_parts():
+    rng, encode, sizes = random.Random(4), packing.WordEncoder(TOKENIZER, 1), []
+    whole = encode.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(sum(len(text.split()) for text in texts))
+            return whole.encode_batch_fast(texts, **options)
+
+    encode.tokenizer = Counting()
+    text = " ".join("".join(rng.choices("abcdefghij", k=9)) + rng.choice(["", ",", "x1"]) for _ in range(12_000))
+    (ids,) = encode([text.encode()])
+    assert np.frombuffer(ids, "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
+    assert sum(sizes) > 10_000 and max(sizes) <= 4000
+
+
 @pytest.mark.parametrize("most_open", [4096, 5])
 def test_packing(spark, most_open):
     from tokenizers import Tokenizer

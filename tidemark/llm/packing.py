@@ -25,8 +25,10 @@ WINDOW, END_ID = 2048, 1
 MOST_OPEN = 4096
 
 #: Bytes of ids in a batch that leaves a task, and words whose ids a task remembers.
-BATCH_BYTES, MOST_WORDS = 4 << 20, 600_000
+BATCH_BYTES, MOST_WORDS = 4 << 20, 300_000
 
+#: New words that go through the tokenizer at once: what it keeps of a word takes far more than its ids.
+AT_ONCE = 4000
 
 #: ASCII characters that are neither letters, digits, white space nor apostrophe.
 PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
@@ -79,7 +81,9 @@ class WordEncoder:
                     parts.update(ended[-1][1:])
                     continue
             parts.add(word)
-        self.encode([part.decode() for part in parts.difference(self.ids)])
+        new = [part.decode() for part in parts.difference(self.ids)]
+        for begin in range(0, len(new), AT_ONCE):
+            self.encode(new[begin : begin + AT_ONCE])
         for word, letters, rest in ended:
             self.ids[word] = self.ids[letters] + self.ids[rest]
 
