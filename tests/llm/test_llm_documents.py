@@ -406,6 +406,14 @@ def test_texts_are_parted_once(spark, monkeypatch):
     assert sum("split(lower" in plan for plan in plans) == 1
 
 
+def test_rows_of_units_are_made_once(spark, monkeypatch):
+    """Their supports and the patterns' constants are read from one table."""
+    plans, stored = [], line_templates.stored
+    monkeypatch.setattr(line_templates, "stored", lambda rows, label: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or stored(rows, label))
+    line_templates.recurring_lines(spark.createDataFrame([(k, f"line {k} of all") for k in range(20)], "doc_id long, text string"))
+    assert sum(plan.count("Generate inline(filter(transform(units") for plan in plans) == 1
+
+
 def test_common_words_make_no_template(spark):
     """Lines that share frequent words only stay, however many there are."""
     rng = random.Random(13)

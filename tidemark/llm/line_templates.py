@@ -142,7 +142,8 @@ def with_leaf(patterns: DataFrame, min_docs: int) -> DataFrame:
 def templates(parsed: DataFrame, min_docs: int, constant: float) -> DataFrame:
     """``pattern``, each ``template`` its lines belong to, and the support of the rarest constant."""
     placed = F.transform("units", lambda unit, at: F.struct(at.alias("at"), unit.alias("unit")))
-    fields = parsed.select("leaf", "pattern", "docs", F.inline(F.filter(placed, lambda x: x["unit"].isNotNull())))
+    # Two passes read these rows: they are made once.
+    fields = stored(parsed.select("leaf", "pattern", "docs", F.inline(F.filter(placed, lambda x: x["unit"].isNotNull()))), "pattern-units")
     supports = fields.groupBy("leaf", "at", "unit").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
     known = fields.drop("docs").join(supports, ["leaf", "at", "unit"])
     parts = known.groupBy("pattern").agg(F.collect_list(F.struct("at", "unit", "support")).alias("fields"))
