@@ -414,6 +414,17 @@ def test_rows_of_units_are_made_once(spark, monkeypatch):
     assert sum(plan.count("Generate inline(filter(transform(units") for plan in plans) == 1
 
 
+def test_texts_go_to_the_join_once(spark):
+    """Whole texts are dealt by id to meet the lines that go: as part of their row, and not a second time."""
+    docs = spark.createDataFrame([(k, f"line {k} of all") for k in range(20)], "doc_id long, text string").repartition(2)
+    plan = line_templates.drop_recurring_lines(docs)._jdf.queryExecution().optimizedPlan()
+    while not plan.nodeName().startswith("Join"):
+        plan = plan.children().head()
+    dealt = plan.children().head().output()
+    kinds = [dealt.apply(k).dataType().catalogString() for k in range(dealt.size())]
+    assert sum(kind.count("string") for kind in kinds) == 1
+
+
 def test_common_words_make_no_template(spark):
     """Lines that share frequent words only stay, however many there are."""
     rng = random.Random(13)

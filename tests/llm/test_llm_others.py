@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 
 from tidemark.llm import curves, packing, pu_quality, url_rules, warc
 
@@ -171,6 +172,15 @@ def test_held_out_labels_change_nothing(spark):
     assert scores[0] == pytest.approx(scores[1], abs=1e-9)
 
 
+def test_good_texts_are_scored_in_arrow_memory(spark):
+    """A batch of texts is not made into as many Python strings before the first is scored."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "")], "doc_id long, text string")
+    kept = pu_quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    kind = re.search(r"ArrowEvalPython \[scores.*, (\d+)", kept._jdf.queryExecution().executedPlan().toString())[1]
+    assert int(kind) == PythonEvalType.SQL_SCALAR_ARROW_UDF
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3]
+
+
 def test_quality_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")

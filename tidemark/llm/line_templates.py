@@ -209,9 +209,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .groupBy(F.col("doc_id").alias("drop_id"))
         .agg(F.collect_set("key").alias("drops"))
     )
-    # The row is kept as one value, so no column can clash.
-    rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = rows.join(drops, F.col("id") == F.col("drop_id"), "left")
+    # The row is kept as one value, so no column can clash; texts go to the join in it, not twice.
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("id"))
+    joined = rows.join(drops, F.col("id") == F.col("drop_id"), "left").withColumn("text", F.col("row").getField(text_col))
     # Only texts with lines to drop are parted again.
     dropping = F.col("drops").isNotNull()
     both = F.arrays_zip(F.split("text", "\n").alias("line"), F.split(F.lower("text"), "\n").alias("low"))

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -227,9 +226,10 @@ def keep_good(
     features = feature_table(docs, id_col, text_col)
     model = train(features, labels.select(F.col(id_col).alias("doc_id"), label), label)
 
-    def scores(texts: pd.Series) -> pd.Series:
-        x = [text_features((text or "").encode()) for text in texts]
-        return pd.Series(model.score(np.array(x, float).reshape(-1, N_FEATURES)))
+    # Of a batch of texts, one at a time is taken out of Arrow's memory.
+    def scores(texts: pa.Array) -> pa.Array:
+        x = [text_features(text.as_py() or b"") for text in pc.cast(texts, pa.binary())]
+        return pa.array(model.score(np.array(x, float).reshape(-1, N_FEATURES)), pa.float64())
 
-    score = F.pandas_udf(scores, "double")
+    score = F.arrow_udf(scores, "double")
     return docs.where(score(F.col(text_col)) >= threshold)
